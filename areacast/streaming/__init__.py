@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analytics this package rebuilds are batch-only (three CSV inputs, three
+batch reports); there is no stream, watermark or state to carry over, so no
+streaming operator is provided.
+"""
