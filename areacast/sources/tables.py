@@ -36,10 +36,14 @@ def centres_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines_with_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the area of their supplier, joined in star order (fact
+    to supplier, then to nation) so each join's build side is a dimension."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag")
-    areas = supplier_areas(spark, sf_dir).select("suppkey", "area")
-    return li.join(areas, li.l_suppkey == areas.suppkey, "inner")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+    return (li.join(sup, li.l_suppkey == sup.s_suppkey, "inner")
+              .join(nat, sup.s_nationkey == nat.n_nationkey, "inner"))
 
 
 def daily_summary_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

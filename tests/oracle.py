@@ -40,7 +40,7 @@ def rows_of(table) -> tuple[list[str], list[tuple]]:
 def compare(spark_df, con, sql: str) -> str | None:
     """None when equal (names, row count, values as multisets), else a reason."""
     s_names, s_rows = rows_of(spark_df.toArrow())
-    d_names, d_rows = rows_of(con.sql(sql).fetch_arrow_table())
+    d_names, d_rows = rows_of(con.sql(sql).to_arrow_table())
     if s_names != d_names:
         return f"columns differ: spark={s_names} duckdb={d_names}"
     if len(s_rows) != len(d_rows):
@@ -53,5 +53,5 @@ def compare(spark_df, con, sql: str) -> str | None:
 
 def types_of(spark_df, con, sql: str) -> tuple[dict, dict]:
     s = {f.name: str(f.type) for f in spark_df.toArrow().schema}
-    d = {f.name: str(f.type) for f in con.sql(sql).fetch_arrow_table().schema}
+    d = {f.name: str(f.type) for f in con.sql(sql).to_arrow_table().schema}
     return s, d

@@ -1,0 +1,121 @@
+"""CSV edge cases (FIXTURES.md section 5) and the report sink."""
+
+import os
+
+import pytest
+from fixtures import CENTRES_CSV, DETAIL_CSV, SUMMARY_CSV
+from pyspark.errors import PySparkException
+from pyspark.sql.utils import CapturedException
+
+from areacast.operators.export import MONTHLY_HEADER, TOP5_HEADER, monthly_lines, top5_lines
+from areacast.plans.queries import forecast_top5, monthly_avg_per_centre, monthly_avg_per_centre_sql
+from areacast.sources import (
+    read_centres,
+    read_csv,
+    read_daily_detail,
+    read_daily_summary,
+    write_report,
+)
+from areacast.schemas import DAILY_SUMMARY_FIELDS
+
+SPARK_ERRORS = (PySparkException, CapturedException, Exception)
+
+
+def test_quoted_comma_stays_one_field(spark, write_text):
+    df = read_centres(spark, write_text("c.csv", 'area,centre,kind\nABR,"X, Y",T\n'))
+    assert [tuple(r) for r in df.collect()] == [("ABR", "X, Y")]
+
+
+def test_empty_centre_counted_by_rows_not_by_names(spark, write_text):
+    centres = read_centres(spark, write_text("c.csv", "area,centre,kind\nABR,,T\nABR,C1,T\n"))
+    summary = read_daily_summary(spark, write_text("s.csv", "date,area,total\n2021-01-10,ABR,620\n"))
+    c1 = monthly_avg_per_centre(centres, summary, "2021-01-01", "2021-05-31").collect()
+    assert [tuple(r) for r in c1] == [("ABR", 1, 10)]          # 620 div 2 div 31
+    c3 = monthly_avg_per_centre_sql(spark, centres, summary, "2021-01-01", "2021-05-31").collect()
+    assert round(c3[0].avg_per_centre, 6) == 20.0              # 620 / 1 / 31
+
+
+def test_zero_named_centres_gives_null_not_error(spark, write_text):
+    centres = read_centres(spark, write_text("c.csv", "area,centre,kind\nABR,,T\n"))
+    summary = read_daily_summary(spark, write_text("s.csv", "date,area,total\n2021-01-10,ABR,620\n"))
+    c3 = monthly_avg_per_centre_sql(spark, centres, summary, "2021-01-01", "2021-05-31").collect()
+    assert c3[0].avg_per_centre is None
+
+
+def test_header_word_inside_data_is_kept(spark, write_text):
+    df = read_centres(spark, write_text("c.csv", "area,centre,kind\nBAS,area vaccinale,T\n"))
+    assert [tuple(r) for r in df.collect()] == [("BAS", "area vaccinale")]
+
+
+def test_folder_with_two_headed_files(spark, write_text):
+    write_text("dir/part1.csv", "area,centre,kind\nABR,C1,T\n")
+    folder = os.path.dirname(write_text("dir/part2.csv", "area,centre,kind\nBAS,C3,T\n"))
+    rows = sorted(tuple(r) for r in read_centres(spark, folder).collect())
+    assert rows == [("ABR", "C1"), ("BAS", "C3")]
+
+
+def test_headerless_positional_scan(spark, write_text):
+    path = write_text("s.csv", "2021-01-02,ABR,620,x\n2021-01-03,BAS,5,y\n")
+    df = read_csv(spark, path, DAILY_SUMMARY_FIELDS, header=False)
+    assert [(str(r.date), r.area, r.total) for r in df.collect()] == [
+        ("2021-01-02", "ABR", 620), ("2021-01-03", "BAS", 5)]
+    assert dict(df.dtypes) == {"date": "date", "area": "string", "total": "bigint"}
+
+
+@pytest.mark.parametrize("line", ["2021-13-01,ABR,5", "2021-1-5,ABR,5", "2021-01-05,ABR,5x",
+                                  "2021-01-05,ABR, 5", "2021-01-05,ABR,5.0"])
+def test_bad_date_or_integer_raises(spark, write_text, line):
+    df = read_daily_summary(spark, write_text("s.csv", "date,area,total\n" + line + "\n"))
+    with pytest.raises(SPARK_ERRORS):
+        df.collect()
+
+
+def test_detail_reads_columns_0_1_2_3_5(spark, write_text):
+    df = read_daily_detail(spark, write_text("d.csv", DETAIL_CSV))
+    assert df.columns == ["date", "supplier", "area", "age_band", "doses"]
+    first = df.where("area = 'ABR' and supplier = 'M'").collect()[0]
+    assert (str(first.date), first.age_band, first.doses) == ("2021-02-01", "20-29", 2)
+
+
+def _report_text(folder):
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    assert len(parts) == 1
+    with open(os.path.join(folder, parts[0]), encoding="utf-8") as fh:
+        return fh.read()
+
+
+def test_monthly_report_bytes(spark, write_text, tmp_path):
+    centres = read_centres(spark, write_text("a/c.csv", CENTRES_CSV))
+    summary = read_daily_summary(spark, write_text("b/s.csv", SUMMARY_CSV))
+    out = str(tmp_path / "report1")
+    n = write_report(monthly_lines(monthly_avg_per_centre(centres, summary, "2021-01-01",
+                                                          "2021-05-31")), out, MONTHLY_HEADER)
+    assert n == 3
+    assert _report_text(out) == ("Regione, Mese;Numero medio vaccinazioni\n"
+                                 "(ABR,Gennaio);20\n(ABR,Aprile);0\n(BAS,Febbraio);3\n")
+
+
+def test_top5_report_bytes_and_overwrite(spark, write_text, tmp_path):
+    detail = read_daily_detail(spark, write_text("c/d.csv", DETAIL_CSV))
+    out = str(tmp_path / "report2")
+    lines = top5_lines(forecast_top5(detail, "2021-01-31", "2021-06-01"))
+    write_report(lines, out, TOP5_HEADER)
+    write_report(lines, out, TOP5_HEADER)  # replaces the earlier output
+    assert _report_text(out) == (
+        "Data, Fascia Anagrafica;TOP 5 (Numero vaccinazioni previste, Regione)\n"
+        "(2021-03-01,20-29);[(68,ABR), (27,LAZ), (27,VEN), (16,PIE), (3,CAL)]\n"
+        "(2021-04-01,20-29);[(62,ABR)]\n")
+
+
+def test_large_report_is_not_forced_into_one_task(spark, tmp_path):
+    lines = spark.range(0, 50, numPartitions=4).selectExpr(
+        "cast(id as string) as label", "cast(id as string) as value").orderBy("label")
+    out = str(tmp_path / "big")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")   # keep AQE from merging the tiny partitions itself
+    try:
+        write_report(lines, out, ("a", "b"), single_file_max_rows=10)
+    finally:
+        spark.conf.set(key, "true")
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) > 1

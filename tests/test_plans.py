@@ -1,0 +1,57 @@
+"""Physical plans: pushdown, pruning, no Python in the hot path, bounded top-k."""
+
+import pytest
+
+import __spark_entry__ as entry
+from areacast.plans import registry
+
+SF = "/root/testdata/sf0.001"
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                "MapInPandas", "PythonUDF", "FlatMapGroupsInArrow")
+PAIR_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def plan_text(df, final=False):
+    if final:
+        df.collect()   # runs this DataFrame's own plan, so AQE's final plan is kept
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(spark, df):
+    jvm = spark.sparkContext._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def lineitem_scan(spark, df):
+    """The formatted-explain block of the lineitem scan."""
+    blocks = formatted(spark, df).split("\n\n")
+    return [b for b in blocks if "Scan parquet" in b and "lineitem.parquet" in b][0]
+
+
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES
+                                  if not n.startswith(("export_", "scan_csv", "parse_"))])
+def test_no_python_and_no_pair_join(spark, name):
+    text = plan_text(registry.QUERIES[name](spark, SF))
+    assert not any(node in text for node in PYTHON_NODES + PAIR_NODES), text
+
+
+def test_c1_scan_is_pruned_and_filtered(spark):
+    df = entry.queries()["monthly_avg_per_centre"](spark, SF)
+    scan = lineitem_scan(spark, df)
+    assert "GreaterThanOrEqual(l_shipdate,1997-01-02T00:00)" in scan
+    assert "LessThan(l_shipdate,1997-05-31T00:00)" in scan
+    assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in scan
+
+
+def test_c2_topk_is_limited_before_the_shuffle(spark):
+    text = plan_text(entry.queries()["forecast_top5"](spark, SF))
+    assert "WindowGroupLimit" in text and "Partial" in text
+    scan = lineitem_scan(spark, entry.queries()["forecast_top5"](spark, SF))
+    assert "GreaterThanOrEqual(l_shipdate,1997-02-01T00:00)" in scan
+
+
+def test_c1_join_is_broadcast_after_aggregation(spark):
+    """AQE measures the aggregated centre counts and broadcasts them."""
+    text = plan_text(entry.queries()["monthly_avg_per_centre"](spark, SF), final=True)
+    assert "isFinalPlan=true" in text
+    assert "SortMergeJoin" not in text.split("Final Plan")[-1].split("Initial Plan")[0]
