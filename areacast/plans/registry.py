@@ -233,11 +233,11 @@ def sort_composite(spark, d):
 
 
 def first_row(spark, d):
-    return ranking.first_row(_summary(spark, d), "date", "area")
+    return ranking.first_row(_summary(spark, d), "date", "area", "total")
 
 
 def limit_preview(spark, d):
-    return ranking.preview(_summary(spark, d), PREVIEW_ROWS, "date", "area")
+    return ranking.preview(_summary(spark, d), PREVIEW_ROWS, "date", "area", "total")
 
 
 # ---- sinks ---------------------------------------------------------------------
@@ -312,9 +312,7 @@ detail AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey
 ),
-summary AS (
-  SELECT date, area, CAST(SUM(doses) AS BIGINT) AS total FROM detail GROUP BY date, area
-),
+summary AS (SELECT date, area, doses AS total FROM detail),
 per_day AS (
   SELECT date, area, age_band, CAST(SUM(doses) AS BIGINT) AS doses
   FROM detail GROUP BY date, area, age_band
@@ -467,8 +465,8 @@ SELECT DISTINCT area, CAST(date_trunc('month', date) AS DATE) AS month_start FRO
 SELECT date, area, age_band, COUNT(*) AS n_rows FROM detail GROUP BY date, area, age_band""",
     "row_count": "SELECT COUNT(*) AS n_rows FROM detail",
     "sort_composite": "SELECT * FROM per_day ORDER BY date, area, age_band",
-    "first_row": "SELECT * FROM summary ORDER BY date, area LIMIT 1",
-    "limit_preview": "SELECT * FROM summary ORDER BY date, area LIMIT 10",
+    "first_row": "SELECT * FROM summary ORDER BY date, area, total LIMIT 1",
+    "limit_preview": "SELECT * FROM summary ORDER BY date, area, total LIMIT 10",
     "export_monthly_lines": f"""
 SELECT '(' || area || ',' || {_IT_MONTHS}[month] || ')' AS label,
        CAST(avg_per_centre AS VARCHAR) AS value

@@ -26,6 +26,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None,
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.driver.memory", "8g")
     )

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areacast.session import shared_dir
 from areacast.schemas import CENTRES_FIELDS, DAILY_DETAIL_FIELDS, DAILY_SUMMARY_FIELDS
 
 Field = tuple[int, str, str]
@@ -72,15 +73,18 @@ def write_report(lines: DataFrame, path: str, header: Sequence[str],
                  sep: str = ";", single_file_max_rows: int = 100_000) -> int:
     """Write a two-column report (already sorted) under ``header``.
 
-    A report of at most ``single_file_max_rows`` rows is written as one file
-    (one writer task); a larger one keeps the sorted partitions as ordered
-    part files, so no task ever receives an unbounded report. Returns the row
-    count.
+    The sorted lines are computed once and cut from their lineage with a
+    reliable ``checkpoint()`` in the shared checkpoint folder (partitions and
+    their order are kept, and a lost executor does not recompute the query).
+    A report of at most ``single_file_max_rows`` rows is then written as one
+    file; a larger one keeps its sorted partitions as ordered part files, so
+    no task ever receives an unbounded report. Returns the row count.
     """
-    n = lines.count()
-    out = lines.toDF(*header)
+    shared_dir(lines.sparkSession)
+    staged = lines.checkpoint(eager=True)
+    n = staged.count()
+    out = staged.toDF(*header)
     if n <= single_file_max_rows:
         out = out.coalesce(1)
-    (out.write.mode("overwrite").option("sep", sep).option("header", True)
-        .option("quote", '"').csv(path))
+    out.write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
     return n

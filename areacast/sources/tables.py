@@ -1,9 +1,13 @@
 """Adaptors from the warehouse tables (Parquet) to the three inputs.
 
     centres        supplier x nation       area = n_name, centre = s_name
-    daily summary  lineitem x supplier x nation, one row per (date, area)
-    daily detail   lineitem x supplier x nation, one row per line item:
-                   supplier = l_suppkey, age_band = l_returnflag
+    daily summary  lineitem x supplier x nation, one row per line item:
+                   date = to_date(l_shipdate), total = l_quantity
+    daily detail   the same rows with supplier = l_suppkey,
+                   age_band = l_returnflag, doses = l_quantity
+
+The queries sum these rows themselves, so the adaptors do not pre-aggregate:
+an extra per-day aggregate would add a stage without changing any result.
 
 Scans read only the needed columns; date filters applied later reach the
 lineitem scan as timestamp range filters. The lineitem-to-supplier join is a
@@ -47,10 +51,12 @@ def _lines_with_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_summary_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(date, area, total): total quantity shipped per day and area."""
-    return (_lines_with_area(spark, sf_dir)
-            .groupBy(F.to_date("l_shipdate").alias("date"), F.col("area"))
-            .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("total")))
+    """(date, area, total), one row per line item."""
+    return _lines_with_area(spark, sf_dir).select(
+        F.to_date("l_shipdate").alias("date"),
+        F.col("area"),
+        F.col("l_quantity").cast("bigint").alias("total"),
+    )
 
 
 def daily_detail_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
