@@ -66,7 +66,7 @@ def test_negative_forecast_truncates_toward_zero(spark):
     """-53.5 becomes -53, not -54."""
     from areacast.functions.arithmetic import exact_forecast
     # points (1, 3), (2, 1): slope -2, intercept 5; at x0 = 29: -53
-    df =spark.createDataFrame([(2, 3, 4, 5, 5, 29)], "n long, sx long, sy long, sxy long, sxx long, x0 int")
+    df = spark.createDataFrame([(2, 3, 4, 5, 5, 29)], "n long, sx long, sy long, sxy long, sxx long, x0 int")
     assert df.select(exact_forecast("n", "sx", "sy", "sxy", "sxx", "x0")).collect()[0][0] == -53
     # (1,0),(3,1): slope 1/2, intercept -1/2; at x0=0 -> -0.5 -> 0 (toward zero)
     df2 = spark.createDataFrame([(2, 4, 1, 3, 10, 0)], "n long, sx long, sy long, sxy long, sxx long, x0 int")
