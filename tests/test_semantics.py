@@ -63,7 +63,7 @@ def test_daily_total_sums_suppliers(spark):
 
 
 def test_negative_forecast_truncates_toward_zero(spark):
-    """-53.5 becomes -53, not -54."""
+    """Negative forecasts are kept and truncate toward zero (-0.5 gives 0)."""
     from areacast.functions.arithmetic import exact_forecast
     # points (1, 3), (2, 1): slope -2, intercept 5; at x0 = 29: -53
     df = spark.createDataFrame([(2, 3, 4, 5, 5, 29)], "n long, sx long, sy long, sxy long, sxx long, x0 int")
