@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OrderCol = Column | str
 
@@ -30,7 +31,9 @@ def ranked_list(df: DataFrame, group_cols: Sequence[str], rank_col: str,
     entries = F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("_rank"),
                                                    *[F.col(f) for f in fields])))
     as_fields = F.transform(entries, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
-    return df.groupBy(*group_cols).agg(as_fields.alias(out))
+    element = T.StructType([T.StructField(f, df.schema[f].dataType, True) for f in fields])
+    return df.groupBy(*group_cols).agg(
+        as_fields.cast(T.ArrayType(element, containsNull=True)).alias(out))
 
 
 def sort_by(df: DataFrame, *cols: OrderCol) -> DataFrame:

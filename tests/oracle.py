@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 
 import duckdb
 
@@ -51,7 +52,12 @@ def compare(spark_df, con, sql: str) -> str | None:
     return None
 
 
+def _type_name(t) -> str:
+    # list child names are a writer convention ("element", "l", "item")
+    return re.sub(r"list<\w+: ", "list<", str(t))
+
+
 def types_of(spark_df, con, sql: str) -> tuple[dict, dict]:
-    s = {f.name: str(f.type) for f in spark_df.toArrow().schema}
-    d = {f.name: str(f.type) for f in con.sql(sql).to_arrow_table().schema}
+    s = {f.name: _type_name(f.type) for f in spark_df.toArrow().schema}
+    d = {f.name: _type_name(f.type) for f in con.sql(sql).to_arrow_table().schema}
     return s, d
