@@ -20,8 +20,10 @@ Field = tuple[int, str, str]
 
 
 def strict_cast(c: Column, dtype: str, field: str) -> Column:
-    """Parse text to ``date`` (ISO ``yyyy-MM-dd``), ``bigint`` (optional sign
-    and digits) or keep ``string``; raise on text that does not parse."""
+    """Parse text to ``date`` (ISO ``yyyy-MM-dd``) or ``bigint`` (optional
+    sign and digits), or keep ``string``. A date or integer field that is
+    empty, missing from a short line, or does not parse raises; a string field
+    may be empty (null)."""
     if dtype == "string":
         return c
     if dtype == "date":
@@ -30,8 +32,9 @@ def strict_cast(c: Column, dtype: str, field: str) -> Column:
         parsed = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast(dtype))
     else:
         parsed = c.try_cast(dtype)
-    bad = F.raise_error(F.concat(F.lit(f"cannot parse {field} as {dtype}: "), c))
-    return F.when(c.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
+    shown = F.coalesce(c, F.lit("<empty>"))
+    bad = F.raise_error(F.concat(F.lit(f"cannot parse {field} as {dtype}: "), shown))
+    return F.when(parsed.isNull(), bad).otherwise(parsed)
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field],
