@@ -40,17 +40,25 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and derived files.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set, as in local tests, a scratch folder is created and
-    registered as the checkpoint dir.
+    Taken from the context's checkpoint dir, else from ``spark.checkpoint.dir``
+    (and registered as the checkpoint dir). Only when neither is set, as in
+    local tests, a scratch folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="areacast-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local context (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="areacast-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -27,3 +27,11 @@ def test_job_writes_both_reports(spark, write_text, tmp_path, capsys):
     assert q1.splitlines()[1] == "(ABR,Gennaio);20"
     assert q2.splitlines()[2] == "(2021-04-01,20-29);[(62,ABR)]"
     assert "36.29032258" in capsys.readouterr().out
+
+
+def test_shared_dir_prefers_configured_checkpoint_dir(spark, tmp_path):
+    from areacast.session import fresh_path, shared_dir
+    here = shared_dir(spark)
+    assert spark.sparkContext.getCheckpointDir() == here
+    a, b = fresh_path(spark, "x"), fresh_path(spark, "x")
+    assert a != b and a.startswith(here.rstrip("/"))
