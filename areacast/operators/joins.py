@@ -18,5 +18,6 @@ def join_centres(totals: DataFrame, counts: DataFrame, key: str = "area") -> Dat
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys_df`` (left semi join)."""
-    return df.join(keys_df.select(*on), on=list(on), how="left_semi")
+    """Rows of ``df`` whose key occurs in ``keys_df`` (left semi join), with
+    the columns of ``df`` in their order."""
+    return df.join(keys_df.select(*on), on=list(on), how="left_semi").select(*df.columns)

@@ -139,3 +139,29 @@ def test_monthly_average_matches_brute_force(spark, summary, centres, parts):
         s_df, c_df = s_df.repartition(parts), c_df.repartition(parts)
     got = [tuple(r) for r in monthly_avg_per_centre(c_df, s_df, lo, hi).collect()]
     assert got == expected   # sorted by area, month
+
+
+@SLOW
+@given(summary=summary_rows, centres=centre_rows)
+def test_sql_average_matches_brute_force(spark, summary, centres):
+    from areacast.plans.queries import monthly_avg_per_centre_sql
+    lo, hi = dt.date(2021, 1, 1), dt.date(2021, 5, 31)
+    named = defaultdict(int)
+    present = set()
+    for a, c in centres:
+        present.add(a)
+        named[a] += c is not None
+    totals = defaultdict(int)
+    for d, a, t in summary:
+        if lo <= d <= hi:
+            totals[(a, d.replace(day=1))] += t
+    expected = {}
+    for (a, m), t in totals.items():
+        if a in present:
+            days = calendar.monthrange(m.year, m.month)[1]
+            expected[(a, m.strftime("%b"))] = None if named[a] == 0 else round(t / named[a] / days, 9)
+    s_df = spark.createDataFrame(summary, "date date, area string, total bigint")
+    c_df = spark.createDataFrame(centres, "area string, centre string")
+    got = {(r.area, r.month): None if r.avg_per_centre is None else round(r.avg_per_centre, 9)
+           for r in monthly_avg_per_centre_sql(spark, c_df, s_df, lo, hi).collect()}
+    assert got == expected
