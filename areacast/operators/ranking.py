@@ -25,14 +25,16 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
 
 
 def ranked_list(df: DataFrame, group_cols: Sequence[str], rank_col: str,
-                fields: Sequence[str], out: str = "top") -> DataFrame:
-    """One row per group with an array of struct(fields) in rank order.
-    Meant for the output of ``top_k_per_group``: each list holds at most k."""
+                fields: Sequence[str], k: int, out: str = "top") -> DataFrame:
+    """One row per group with an array of struct(fields) in rank order, for
+    the rows ranked 1 to ``k`` (the rank is a ``row_number`` from
+    ``top_k_per_group``), so a list never holds more than ``k`` entries."""
+    ranked = df.where(F.col(rank_col) <= k)
     entries = F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("_rank"),
                                                    *[F.col(f) for f in fields])))
     as_fields = F.transform(entries, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
     element = T.StructType([T.StructField(f, df.schema[f].dataType, True) for f in fields])
-    return df.groupBy(*group_cols).agg(
+    return ranked.groupBy(*group_cols).agg(
         as_fields.cast(T.ArrayType(element, containsNull=True)).alias(out))
 
 

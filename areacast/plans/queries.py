@@ -97,7 +97,7 @@ def forecast_top5(detail: DataFrame, lo: DateLike, hi: DateLike, k: int = 5,
     rank by area ascending. Sorted by date, age_band.
     """
     top = forecast_ranking(detail, lo, hi, k, min_active_days)
-    return (ranked_list(top, ["date", "age_band"], "rank", ["forecast", "area"], out="top")
+    return (ranked_list(top, ["date", "age_band"], "rank", ["forecast", "area"], k, out="top")
             .orderBy("date", "age_band"))
 
 

@@ -210,7 +210,7 @@ def trend_fit(spark, d):
 
 def topk_list(spark, d):
     ranked = q.forecast_ranking(_detail(spark, d), k=TOP_K)
-    return ranking.ranked_list(ranked, ["date", "age_band"], "rank", ["forecast", "area"])
+    return ranking.ranked_list(ranked, ["date", "age_band"], "rank", ["forecast", "area"], TOP_K)
 
 
 def distinct_keys(spark, d):

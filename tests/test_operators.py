@@ -66,7 +66,7 @@ def test_top_k_ties_break_by_later_columns(spark):
     top = ranking.top_k_per_group(df, ["g"], [F.desc("v"), F.asc("name")], 2)
     got = sorted((r.g, r.rank, r.v, r.name) for r in top.collect())
     assert got == [("g", 1, 9, "z"), ("g", 2, 5, "a"), ("h", 1, 1, "q")]
-    lists = ranking.ranked_list(top, ["g"], "rank", ["v", "name"]).collect()
+    lists = ranking.ranked_list(top, ["g"], "rank", ["v", "name"], 2).collect()
     assert {r.g: [(e.v, e.name) for e in r.top] for r in lists} == {
         "g": [(9, "z"), (5, "a")], "h": [(1, "q")]}
 
