@@ -1,0 +1,52 @@
+"""Exported reports on the tables follow the line patterns of the published
+report files (header, then one line per key)."""
+
+import os
+import re
+
+from areacast.functions.calendar import ITALIAN_MONTHS
+from areacast.operators.export import MONTHLY_HEADER, TOP5_HEADER, monthly_lines, top5_lines
+from areacast.plans import registry
+from areacast.sources import write_report
+
+MONTHLY_LINE = re.compile(r"^\(([^,()]+),(" + "|".join(ITALIAN_MONTHS) + r")\);(-?\d+)$")
+TOP5_LINE = re.compile(r"^\((\d{4}-\d{2}-\d{2}),([^,()]+)\);\[((\(-?\d+,[^,()]+\))(, \(-?\d+,[^,()]+\)){0,4})?\]$")
+SF = "/root/testdata/sf0.01"
+
+
+def _lines(folder):
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    assert len(parts) == 1
+    with open(os.path.join(folder, parts[0]), encoding="utf-8") as fh:
+        return fh.read().split("\n")
+
+
+def test_monthly_report_lines(spark, tmp_path):
+    out = str(tmp_path / "q1")
+    n = write_report(monthly_lines(registry.monthly_avg_per_centre(spark, SF)), out, MONTHLY_HEADER)
+    lines = _lines(out)
+    assert lines[0] == ";".join(MONTHLY_HEADER) and lines[-1] == ""
+    body = lines[1:-1]
+    assert len(body) == n == 125
+    keys = []
+    for ln in body:
+        m = MONTHLY_LINE.match(ln)
+        assert m, ln
+        keys.append((m.group(1), ITALIAN_MONTHS.index(m.group(2))))
+    assert keys == sorted(keys)          # by area, then month
+
+
+def test_top5_report_lines(spark, tmp_path):
+    out = str(tmp_path / "q2")
+    write_report(top5_lines(registry.forecast_top5(spark, SF)), out, TOP5_HEADER)
+    lines = _lines(out)
+    assert lines[0] == ";".join(TOP5_HEADER)
+    body = lines[1:-1]
+    keys = []
+    for ln in body:
+        m = TOP5_LINE.match(ln)
+        assert m, ln
+        keys.append((m.group(1), m.group(2)))
+        values = [int(v) for v in re.findall(r"\((-?\d+),", m.group(3) or "")]
+        assert values == sorted(values, reverse=True)   # non-increasing
+    assert keys == sorted(keys) and len(keys) == 12     # 4 dates x 3 bands
