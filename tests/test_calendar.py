@@ -44,3 +44,21 @@ def test_single_day_month_has_no_fit(spark):
                                "date date, area string, age_band string, doses bigint")
     out = forecast_next_month(trend_moments(df)).collect()
     assert out[0].forecast is None and out[0].date == dt.date(2021, 5, 1)
+
+
+def test_forecast_uses_true_february_length(spark):
+    """Points (1, 10), (2, 12): the line 8 + 2x is evaluated at day 30 in a
+    leap February (68) and at day 29 in a common one (66)."""
+    from areacast.plans.queries import forecast_ranking
+    rows = [(dt.date(y, 2, d), "P", "ABR", "b", v) for y in (2020, 2021) for d, v in ((1, 10), (2, 12))]
+    df = spark.createDataFrame(rows, "date date, supplier string, area string, age_band string, doses bigint")
+    got = {r.date: r.forecast for r in forecast_ranking(df).collect()}
+    assert got == {dt.date(2020, 3, 1): 68, dt.date(2021, 3, 1): 66}
+
+
+def test_december_forecast_lands_in_next_year(spark):
+    from areacast.plans.queries import forecast_ranking
+    rows = [(dt.date(2021, 12, d), "P", "ABR", "b", v) for d, v in ((30, 5), (31, 6))]
+    df = spark.createDataFrame(rows, "date date, supplier string, area string, age_band string, doses bigint")
+    got = [(r.date, r.forecast) for r in forecast_ranking(df).collect()]
+    assert got == [(dt.date(2022, 1, 1), 7)]   # line -25 + x at day 32
