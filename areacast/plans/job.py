@@ -117,7 +117,8 @@ def run(spark: SparkSession, args) -> dict[str, float]:
 
 def main(argv=None) -> None:
     args = parse_args(argv)
-    spark = SparkSession.builder.appName("areacast-job").getOrCreate()
+    spark = (SparkSession.builder.appName("areacast-job")
+             .config("spark.ui.enabled", "false").getOrCreate())
     for key, value in RECOMMENDED_CONF.items():
         spark.conf.set(key, value)
     for name, sec in run(spark, args).items():
