@@ -41,8 +41,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and derived files.
 
     Taken from the context's checkpoint dir, else from ``spark.checkpoint.dir``
-    (and registered as the checkpoint dir). Only when neither is set, as in
-    local tests, a scratch folder is created and registered.
+    (and registered as the checkpoint dir). Only when neither is set and the
+    master is local, as in tests, a scratch folder is created and registered;
+    on a cluster an unset folder is an error, as a driver-local folder would
+    not be shared with the executors.
     """
     try:
         sc = spark.sparkContext
@@ -54,6 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="areacast-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
