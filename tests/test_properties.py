@@ -165,3 +165,19 @@ def test_sql_average_matches_brute_force(spark, summary, centres):
     got = {(r.area, r.month): None if r.avg_per_centre is None else round(r.avg_per_centre, 9)
            for r in monthly_avg_per_centre_sql(spark, c_df, s_df, lo, hi).collect()}
     assert got == expected
+
+
+year_rows = st.lists(
+    st.tuples(st.dates(min_value=dt.date(2020, 11, 25), max_value=dt.date(2021, 3, 5)),
+              st.sampled_from(["P", "M"]), st.sampled_from(AREAS), st.sampled_from(BANDS),
+              st.integers(min_value=0, max_value=400)),
+    max_size=60)
+
+
+@SLOW
+@given(rows=year_rows)
+def test_forecast_across_a_year_boundary(spark, rows):
+    lo, hi = dt.date(2020, 11, 30), dt.date(2021, 3, 1)
+    out = forecast_top5(_detail_df(spark, rows), lo, hi, k=5).collect()
+    got = {(r.date, r.age_band): [(e.forecast, e.area) for e in r.top] for r in out}
+    assert got == brute_top(rows, lo, hi, 5)
