@@ -27,3 +27,10 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["area", "month", "avg_per_centre"]
     assert df.count() == 50
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_schema_is_stable_across_scales(spark, name):
+    small = entry.queries()[name](spark, SF).schema
+    larger = entry.queries()[name](spark, "/root/testdata/sf0.01").schema
+    assert small == larger
