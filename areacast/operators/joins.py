@@ -10,6 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from areacast.functions.arithmetic import int_div_average
+from areacast.functions.calendar import days_in_month
+
 
 def join_centres(totals: DataFrame, counts: DataFrame, key: str = "area") -> DataFrame:
     """Inner equi-join of per-(area, month) totals with per-area centre counts.
@@ -17,6 +20,16 @@ def join_centres(totals: DataFrame, counts: DataFrame, key: str = "area") -> Dat
     return totals.join(counts, on=key, how="inner")
 
 
+def per_centre_average(totals: DataFrame, counts: DataFrame, key: str = "area",
+                       centres: str = "n_centres") -> DataFrame:
+    """Join per-(area, month) totals with per-area centre counts and take the
+    integer average per centre and day: ``total div centres div days``.
+    Columns: key, month_start, avg_per_centre (bigint)."""
+    return join_centres(totals, counts.select(key, centres), key).select(
+        key, "month_start",
+        int_div_average("total", centres, days_in_month("month_start")).alias("avg_per_centre"))
+
+
 def semi_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys_df`` (left semi join), with
     the columns of ``df`` in their order."""

@@ -17,11 +17,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.functions.arithmetic import int_div_average
-from areacast.functions.calendar import days_in_month, month_number
+from areacast.functions.calendar import month_number
 from areacast.operators.aggregates import centre_counts, daily_total, monthly_total
 from areacast.operators.filters import DateLike, within
-from areacast.operators.joins import join_centres
+from areacast.operators.joins import per_centre_average
 from areacast.operators.ranking import ranked_list, top_k_per_group
 from areacast.operators.trend import forecast_next_month, keep_active, trend_moments
 
@@ -38,13 +37,9 @@ def monthly_avg_per_centre(centres: DataFrame, daily: DataFrame, lo: DateLike,
     Columns: area, month (1-12), avg_per_centre (bigint).
     """
     totals = monthly_total(within(daily, "date", lo, hi, closed))
-    counts = centre_counts(centres).select("area", "n_centres")
-    return (join_centres(totals, counts)
-            .orderBy("area", "month_start")
-            .select("area",
-                    month_number("month_start").alias("month"),
-                    int_div_average("total", "n_centres",
-                                    days_in_month("month_start")).alias("avg_per_centre")))
+    averages = per_centre_average(totals, centre_counts(centres))
+    return (averages.orderBy("area", "month_start")
+                    .select("area", month_number("month_start").alias("month"), "avg_per_centre"))
 
 
 MONTHLY_AVG_SQL = """

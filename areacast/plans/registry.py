@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areacast.functions import calendar as cal
-from areacast.functions.arithmetic import int_div_average
 from areacast.functions.text import row_to_line
 from areacast.operators import aggregates as agg
 from areacast.operators import export, filters, joins, ranking, trend
@@ -143,12 +142,8 @@ def calendar_days(spark, d):
 
 
 def int_div_average_query(spark, d):
-    totals = agg.monthly_total(_summary(spark, d))
-    counts = agg.centre_counts(_centres(spark, d)).select("area", "n_centres")
-    return joins.join_centres(totals, counts).select(
-        "area", "month_start",
-        int_div_average("total", "n_centres", cal.days_in_month("month_start"))
-        .alias("avg_per_centre"))
+    return joins.per_centre_average(agg.monthly_total(_summary(spark, d)),
+                                    agg.centre_counts(_centres(spark, d)))
 
 
 def trend_forecast(spark, d):
