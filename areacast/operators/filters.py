@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 DateLike = str | dt.date
 
 
+def as_date(v: DateLike) -> dt.date:
+    """A window bound as a date: ISO text, a date, or a datetime (its day)."""
+    if isinstance(v, dt.datetime):
+        return v.date()
+    return v if isinstance(v, dt.date) else dt.date.fromisoformat(v)
+
+
 def _date(v: DateLike):
-    return F.lit(v if isinstance(v, dt.date) else dt.date.fromisoformat(v))
+    return F.lit(as_date(v))
 
 
 def within(df: DataFrame, column: str, lo: DateLike, hi: DateLike,

@@ -12,14 +12,12 @@ Each returns a lazy DataFrame; nothing is collected.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areacast.functions.calendar import month_number
 from areacast.operators.aggregates import centre_counts, daily_total, monthly_total
-from areacast.operators.filters import DateLike, within
+from areacast.operators.filters import DateLike, as_date, within
 from areacast.operators.joins import per_centre_average
 from areacast.operators.ranking import ranked_list, top_k_per_group
 from areacast.operators.trend import forecast_next_month, keep_active, trend_moments
@@ -71,9 +69,6 @@ def monthly_avg_per_centre_sql(spark: SparkSession, centres: DataFrame, daily: D
     is fixed per area, so the totals are summed before the join. A zero count
     gives null. Unordered. Columns: area, month (``Jan``), avg_per_centre.
     """
-    def as_date(v):
-        return v if isinstance(v, dt.date) else dt.date.fromisoformat(v)
-
     return spark.sql(MONTHLY_AVG_SQL, args={"lo": as_date(lo), "hi": as_date(hi)},
                      daily=daily.select("date", "area", F.col("total").cast("bigint").alias("total")),
                      centres=centres.select("area", "centre"))

@@ -89,3 +89,10 @@ def test_text_functions(spark):
     assert arr.select(top_list_text("top")).collect()[0][0] == "[(6,LAZ), (-1,PUG)]"
     empty = spark.sql("select cast(array() as array<struct<forecast:bigint,area:string>>) as top")
     assert empty.select(top_list_text("top")).collect()[0][0] == "[]"
+
+
+def test_window_bounds_accept_text_dates_and_datetimes(spark):
+    df = _summary(spark)
+    a = filters.within(df, "date", "2021-01-01", "2021-02-01", closed=True).count()
+    b = filters.within(df, "date", dt.datetime(2021, 1, 1, 23, 0), D(2021, 2, 1), closed=True).count()
+    assert a == b == 4
