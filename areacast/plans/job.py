@@ -60,6 +60,11 @@ def parse_args(argv=None):
     p.add_argument("--c2-window", nargs=2, metavar=("LO", "HI"))
     p.add_argument("--c3-window", nargs=2, metavar=("LO", "HI"))
     p.add_argument("--show", type=int, default=105, help="rows of C3 to print")
+    p.add_argument("--shuffle-partitions", type=int,
+                   help="partitions of the big join's shuffle (AQE coalesces the small "
+                        "stages); size it so one partition is about 128-256 MB")
+    p.add_argument("--max-partition-bytes",
+                   help="spark.sql.files.maxPartitionBytes for the scans, e.g. 256m")
     args = p.parse_args(argv)
     if args.centres and not (args.summary and args.detail):
         p.error("--centres needs --summary and --detail")
@@ -121,6 +126,10 @@ def main(argv=None) -> None:
              .config("spark.ui.enabled", "false").getOrCreate())
     for key, value in RECOMMENDED_CONF.items():
         spark.conf.set(key, value)
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
+    if args.max_partition_bytes:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", args.max_partition_bytes)
     for name, sec in run(spark, args).items():
         print(f"{name} elapsed: {sec * 1000:.0f} ms")
 
