@@ -5,6 +5,7 @@ from areacast.operators.aggregates import (
     count_by_key,
     daily_total,
     distinct_keys,
+    key_count,
     monthly_total,
     row_count,
 )
@@ -24,7 +25,7 @@ from areacast.operators.trend import (
 __all__ = [
     "active_day_semi_join", "active_keys", "centre_counts", "count_by_key",
     "daily_total", "distinct_keys", "equals", "first_row", "fit_trend",
-    "forecast_next_month", "join_centres", "keep_active", "monthly_lines",
+    "forecast_next_month", "join_centres", "keep_active", "key_count", "monthly_lines",
     "per_centre_average",
     "monthly_total", "not_contains", "positive", "preview", "ranked_list",
     "row_count", "semi_join", "sort_by", "top5_lines", "top_k_per_group",

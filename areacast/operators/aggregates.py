@@ -38,6 +38,12 @@ def count_by_key(df: DataFrame, keys: Sequence[str], out: str = "n_rows") -> Dat
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
+def key_count(df: DataFrame, keys: Sequence[str], out: str = "n_keys") -> DataFrame:
+    """One-row frame with the number of distinct ``keys`` (distinct, then a
+    global count; both aggregate partially before their shuffle)."""
+    return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias(out))
+
+
 def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
     """One-row frame with the row count (global aggregate, partial per task)."""
     return df.agg(F.count(F.lit(1)).alias(out))

@@ -217,6 +217,11 @@ def count_by_key(spark, d):
     return agg.count_by_key(_detail(spark, d), ["date", "area", "age_band"])
 
 
+def key_count(spark, d):
+    """Number of (month, area, band) groups with at least two active days."""
+    return agg.key_count(trend.active_keys(_per_day(spark, d)), ["month_start", "area", "age_band"])
+
+
 def row_count(spark, d):
     return agg.row_count(_detail(spark, d))
 
@@ -284,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "topk_list": topk_list,
     "distinct_keys": distinct_keys,
     "count_by_key": count_by_key,
+    "key_count": key_count,
     "row_count": row_count,
     "sort_composite": sort_composite,
     "first_row": first_row,

@@ -96,3 +96,9 @@ def test_window_bounds_accept_text_dates_and_datetimes(spark):
     a = filters.within(df, "date", "2021-01-01", "2021-02-01", closed=True).count()
     b = filters.within(df, "date", dt.datetime(2021, 1, 1, 23, 0), D(2021, 2, 1), closed=True).count()
     assert a == b == 4
+
+
+def test_key_count(spark):
+    df = _summary(spark)
+    assert agg.key_count(df, ["area"]).collect()[0].n_keys == 2
+    assert agg.key_count(df.limit(0), ["area"]).collect()[0].n_keys == 0
