@@ -58,3 +58,21 @@ def test_job_on_tables_matches_direct_queries(spark, tmp_path, capsys):
              for ln in capsys.readouterr().out.splitlines() if ln.startswith("|")]
     printed = {(a, m, float(v)) for a, m, v in cells[1:]}
     assert printed == c3_direct
+
+
+def test_job_command_line(write_text, tmp_path):
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = tmp_path / "cli"
+    cmd = [sys.executable, os.path.join(root, "areacast", "plans", "job.py"),
+           "--centres", write_text("a/c.csv", CENTRES_CSV),
+           "--summary", write_text("b/s.csv", SUMMARY_CSV),
+           "--detail", write_text("c/d.csv", DETAIL_CSV),
+           "--out", str(out), "--shuffle-partitions", "4"]
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
+    res = subprocess.run(cmd, capture_output=True, text=True, timeout=600, env=env)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert "C1 elapsed" in res.stdout and "C3 elapsed" in res.stdout
+    assert _read(str(out / "query1_result")).splitlines()[1] == "(ABR,Gennaio);20"
