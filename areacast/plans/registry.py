@@ -61,22 +61,25 @@ def _active_moments(spark, d):
 # ---- composed queries -------------------------------------------------------
 
 def monthly_avg_per_centre(spark, d):
+    """C1 (F1, A1, A2, J1, P7, P12, O1)."""
     return q.monthly_avg_per_centre(_centres(spark, d), _summary(spark, d), *C1_WINDOW)
 
 
 def monthly_avg_per_centre_sql(spark, d):
+    """C3 (S6, S7, F3, A3, J2, P6, P8, P13, A10)."""
     return q.monthly_avg_per_centre_sql(spark, _centres(spark, d), _summary(spark, d), *C3_WINDOW)
 
 
 def forecast_top5(spark, d):
+    """C2 (F2, A4, A5, F5, A6, P10, P15, P14, P11, O3, O5, A7)."""
     return q.forecast_top5(_detail(spark, d), *C2_WINDOW, k=TOP_K)
 
 
 # ---- sources ----------------------------------------------------------------
 
 def scan_csv_positional(spark, d):
-    """Daily summary written without header, with a trailing unused column,
-    then read by position."""
+    """Daily summary written without header, with a trailing unused
+    column, then read by position."""
     path = fresh_path(spark, "daily-summary-csv")
     rows = _summary(spark, d).select(F.col("date").cast("string"), "area",
                                      F.col("total").cast("string"), F.lit("-"))
@@ -85,7 +88,8 @@ def scan_csv_positional(spark, d):
 
 
 def scan_csv_header(spark, d):
-    """Centres written with a header line and an extra column, read back."""
+    """Centres written with a header line and an extra column, read
+    back with one header per file."""
     path = fresh_path(spark, "centres-csv")
     rows = tables.supplier_areas(spark, d).select(
         "area", "centre", F.col("suppkey").cast("string").alias("code"))
@@ -94,8 +98,8 @@ def scan_csv_header(spark, d):
 
 
 def parse_typed_fields(spark, d):
-    """Daily detail written as text (six columns, column 4 a decoy) and parsed
-    strictly back into date / string / bigint."""
+    """Daily detail written as text (six columns, column 4 a decoy)
+    and parsed strictly back into date / string / bigint."""
     path = fresh_path(spark, "daily-detail-csv")
     det = _detail(spark, d)
     rows = det.select(F.col("date").cast("string").alias("date"),
@@ -107,6 +111,7 @@ def parse_typed_fields(spark, d):
 
 
 def row_to_line_query(spark, d):
+    """S3: a row as one delimited line, nulls as ``null``."""
     areas = tables.supplier_areas(spark, d)
     return areas.select(row_to_line(["area", "centre", "suppkey"]).alias("line"))
 
@@ -114,10 +119,12 @@ def row_to_line_query(spark, d):
 # ---- projections -------------------------------------------------------------
 
 def project_columns(spark, d):
+    """Column pruning."""
     return _detail(spark, d).select("date", "area", "age_band", "doses")
 
 
 def month_labels(spark, d):
+    """Month names and numbers."""
     months = agg.distinct_keys(
         _summary(spark, d).select(cal.month_start("date").alias("month_start")), ["month_start"])
     return months.select(
@@ -130,6 +137,7 @@ def month_labels(spark, d):
 
 
 def calendar_days(spark, d):
+    """Day counts and forecast days."""
     dates = agg.distinct_keys(_summary(spark, d), ["date"])
     return dates.select(
         "date",
@@ -142,101 +150,122 @@ def calendar_days(spark, d):
 
 
 def int_div_average_query(spark, d):
+    """Integer average per centre and day."""
     return joins.per_centre_average(agg.monthly_total(_summary(spark, d)),
                                     agg.centre_counts(_centres(spark, d)))
 
 
 def trend_forecast(spark, d):
+    """Truncated next-month forecast."""
     return trend.forecast_next_month(_active_moments(spark, d))
 
 
 def topk_per_group(spark, d):
+    """Top 5 per (date, band)."""
     return q.forecast_ranking(_detail(spark, d), k=TOP_K)
 
 
 # ---- filters -----------------------------------------------------------------
 
 def filter_closed_interval(spark, d):
+    """Closed date window."""
     return filters.within(_summary(spark, d), "date", *C3_WINDOW, closed=True)
 
 
 def filter_open_interval(spark, d):
+    """open date window."""
     return filters.within(_summary(spark, d), "date", *C1_WINDOW)
 
 
 def active_day_filter(spark, d):
+    """Groups with two active days."""
     return trend.active_keys(_per_day(spark, d))
 
 
 def filter_not_contains(spark, d):
+    """negated substring test."""
     return filters.not_contains(_centres(spark, d), "centre", NOT_CONTAINED)
 
 
 def filter_equals(spark, d):
+    """equality filter."""
     return filters.equals(_per_day(spark, d), "area", FILTER_AREA)
 
 
 def active_day_semi_join(spark, d):
+    """Rows of the active groups (left semi join)."""
     return trend.active_day_semi_join(_per_day(spark, d))
 
 
 # ---- joins and aggregates ------------------------------------------------------
 
 def join_centres(spark, d):
+    """Totals joined to centre counts."""
     return joins.join_centres(agg.monthly_total(_summary(spark, d)),
                               agg.centre_counts(_centres(spark, d)))
 
 
 def monthly_total(spark, d):
+    """Sum per (area, month)."""
     return agg.monthly_total(_summary(spark, d))
 
 
 def total_over_supplier(spark, d):
+    """Sum over suppliers per (date, area, band)."""
     return _per_day(spark, d)
 
 
 def count_centres(spark, d):
+    """A2, A3: centres per area, by rows and by names."""
     return agg.centre_counts(_centres(spark, d))
 
 
 def trend_fit(spark, d):
+    """Least-squares slope and intercept."""
     return trend.fit_trend(_active_moments(spark, d))
 
 
 def topk_list(spark, d):
+    """Ordered top-5 lists."""
     ranked = q.forecast_ranking(_detail(spark, d), k=TOP_K)
     return ranking.ranked_list(ranked, ["date", "age_band"], "rank", ["forecast", "area"], TOP_K)
 
 
 def distinct_keys(spark, d):
+    """Distinct (area, month)."""
     keyed = _summary(spark, d).select("area", cal.month_start("date").alias("month_start"))
     return agg.distinct_keys(keyed, ["area", "month_start"])
 
 
 def count_by_key(spark, d):
+    """Rows per key."""
     return agg.count_by_key(_detail(spark, d), ["date", "area", "age_band"])
 
 
 def key_count(spark, d):
-    """Number of (month, area, band) groups with at least two active days."""
+    """Number of (month, area, band) groups with two active days."""
     return agg.key_count(trend.active_keys(_per_day(spark, d)), ["month_start", "area", "age_band"])
 
 
 def row_count(spark, d):
+    """Row count."""
     return agg.row_count(_detail(spark, d))
 
 
 # ---- ordering ------------------------------------------------------------------
 
 def sort_composite(spark, d):
+    """Composite sort."""
     return ranking.sort_by(_per_day(spark, d), "date", "area", "age_band")
 
 
 def first_row(spark, d):
+    """First row by a total order."""
     return ranking.first_row(_summary(spark, d), "date", "area", "total")
 
 
 def limit_preview(spark, d):
+    """First 10 rows by a total order."""
     return ranking.preview(_summary(spark, d), PREVIEW_ROWS, "date", "area", "total")
 
 
@@ -248,6 +277,7 @@ def _read_report(spark, path):
 
 
 def export_monthly_lines(spark, d):
+    """K1, K3: C1 report written (overwrite) and read back."""
     path = fresh_path(spark, "monthly-report")
     csv_files.write_report(export.monthly_lines(monthly_avg_per_centre(spark, d)), path,
                            export.MONTHLY_HEADER)
@@ -255,6 +285,7 @@ def export_monthly_lines(spark, d):
 
 
 def export_top5_lines(spark, d):
+    """K2: C2 report written and read back."""
     path = fresh_path(spark, "top5-report")
     csv_files.write_report(export.top5_lines(forecast_top5(spark, d)), path,
                            export.TOP5_HEADER)
