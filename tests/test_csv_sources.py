@@ -118,3 +118,15 @@ def test_large_report_is_not_forced_into_one_task(spark, tmp_path):
         spark.conf.set(key, "true")
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) > 1
+
+
+def test_bad_values_raise_with_ansi_off(spark, write_text):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for line in ("2021-13-01,ABR,5", "2021-01-05,ABR,5x"):
+            df = read_daily_summary(spark, write_text(f"off/{line[:7]}{line[-1]}.csv",
+                                                      "date,area,total\n" + line + "\n"))
+            with pytest.raises(PySparkException, match="cannot parse"):
+                df.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
