@@ -11,6 +11,10 @@ from pyspark.sql import SparkSession
 # shuffle sizes (broadcast only when the runtime size is under the threshold),
 # coalesces small shuffle partitions and splits skewed join partitions.
 RECOMMENDED_CONF = {
+    # The only broadcasts are the planner's own, bounded by these sizes
+    # (estimated from file statistics, then measured at run time by AQE).
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
