@@ -1,5 +1,6 @@
 """CSV edge cases (FIXTURES.md section 5) and the report sink."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -130,3 +131,14 @@ def test_bad_values_raise_with_ansi_off(spark, write_text):
                 df.collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_monthly_report_is_chronological_across_a_year_end(spark, tmp_path):
+    summary = spark.createDataFrame(
+        [(dt.date(2020, 12, 10), "ABR", 310), (dt.date(2021, 1, 10), "ABR", 620)],
+        "date date, area string, total bigint")
+    centres = spark.createDataFrame([("ABR", "C1")], "area string, centre string")
+    out = str(tmp_path / "yearend")
+    write_report(monthly_lines(monthly_avg_per_centre(centres, summary, "2020-12-01", "2021-01-31")),
+                 out, MONTHLY_HEADER)
+    assert _report_text(out).splitlines()[1:] == ["(ABR,Dicembre);10", "(ABR,Gennaio);20"]
