@@ -31,7 +31,8 @@ def monthly_avg_per_centre(centres: DataFrame, daily: DataFrame, lo: DateLike,
     total). Rows with ``lo < date < hi`` are used (both ends included when
     ``closed``). Totals are summed per (area, month) before the join, so the
     join sees one row per (area, month) against one row per area. Areas with
-    no centre, and centres with no counts, drop out. Sorted by area, month.
+    no centre, and centres with no counts, drop out. Sorted by area, then
+    month start (chronological across a year end).
     Columns: area, month (1-12), avg_per_centre (bigint).
     """
     totals = monthly_total(within(daily, "date", lo, hi, closed))
