@@ -103,20 +103,21 @@ def run(spark: SparkSession, args) -> dict[str, float]:
         summary = read_daily_summary(spark, args.summary)
         detail = read_daily_detail(spark, args.detail)
     out = args.out.rstrip("/")
+    steps = {
+        "C1": lambda: write_report(monthly_lines(monthly_avg_per_centre(centres, summary, *w1)),
+                                   f"{out}/query1_result", MONTHLY_HEADER),
+        "C2": lambda: write_report(top5_lines(forecast_top5(detail, *w2)),
+                                   f"{out}/query2_result", TOP5_HEADER),
+        "C3": lambda: monthly_avg_per_centre_sql(spark, centres, summary, *w3)
+                      .show(args.show, truncate=False),
+    }
     elapsed = {}
-
-    t0 = time.perf_counter()
-    write_report(monthly_lines(monthly_avg_per_centre(centres, summary, *w1)),
-                 f"{out}/query1_result", MONTHLY_HEADER)
-    elapsed["C1"] = time.perf_counter() - t0
-
-    t0 = time.perf_counter()
-    write_report(top5_lines(forecast_top5(detail, *w2)), f"{out}/query2_result", TOP5_HEADER)
-    elapsed["C2"] = time.perf_counter() - t0
-
-    t0 = time.perf_counter()
-    monthly_avg_per_centre_sql(spark, centres, summary, *w3).show(args.show, truncate=False)
-    elapsed["C3"] = time.perf_counter() - t0
+    for name, step in steps.items():
+        spark.sparkContext.setJobDescription(f"areacast {name}")   # labels its jobs in event logs
+        t0 = time.perf_counter()
+        step()
+        elapsed[name] = time.perf_counter() - t0
+    spark.sparkContext.setJobDescription(None)
     return elapsed
 
 
