@@ -20,8 +20,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+    if isinstance(v, float):   # exact: the doubles are single divisions of exact integers
+        return None if math.isnan(v) else v
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, dict):
