@@ -55,3 +55,19 @@ def test_c1_join_is_broadcast_after_aggregation(spark):
     text = plan_text(entry.queries()["monthly_avg_per_centre"](spark, SF), final=True)
     assert "isFinalPlan=true" in text
     assert "SortMergeJoin" not in text.split("Final Plan")[-1].split("Initial Plan")[0]
+
+
+# Shuffle budget per headline query (upper bounds on the initial plan):
+# hash exchanges for the aggregates / join, one range exchange for the
+# report order of C1 and C2.
+BUDGET = {"monthly_avg_per_centre": (3, 1), "forecast_top5": (3, 1),
+          "monthly_avg_per_centre_sql": (3, 0)}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.1"])
+@pytest.mark.parametrize("name", sorted(BUDGET))
+def test_shuffle_budget(spark, name, sf):
+    text = plan_text(entry.queries()[name](spark, f"/root/testdata/sf{sf}"))
+    max_hash, ranges = BUDGET[name]
+    assert text.count("Exchange hashpartitioning") <= max_hash, text
+    assert text.count("Exchange rangepartitioning") == ranges, text
