@@ -142,3 +142,11 @@ def test_monthly_report_is_chronological_across_a_year_end(spark, tmp_path):
     write_report(monthly_lines(monthly_avg_per_centre(centres, summary, "2020-12-01", "2021-01-31")),
                  out, MONTHLY_HEADER)
     assert _report_text(out).splitlines()[1:] == ["(ABR,Dicembre);10", "(ABR,Gennaio);20"]
+
+
+def test_csv_scan_reads_only_the_used_columns(spark, write_text):
+    df = read_daily_detail(spark, write_text("prune/d.csv", DETAIL_CSV))
+    scan = [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines()
+            if "FileScan csv" in ln][0]
+    schema = scan.split("ReadSchema: ")[1]
+    assert "women" in schema and "other" not in schema and "extra" not in schema
