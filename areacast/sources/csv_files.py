@@ -44,6 +44,12 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Fi
     With ``header=True`` the first line of *every* file is a header and is
     skipped; a data line that happens to contain header text is kept. With
     ``header=False`` every line is data and columns are taken by position.
+
+    A field is checked when it is evaluated. Filters are pushed below the
+    parsing, so a field that a query reads only for rows its filter keeps
+    (e.g. the count of a row outside the date window) is not checked on the
+    other rows; the field a filter itself uses (the date) is checked on every
+    row.
     """
     raw = (spark.read.option("header", header).option("sep", sep)
                 .option("mode", "PERMISSIVE").csv(path))

@@ -150,3 +150,15 @@ def test_csv_scan_reads_only_the_used_columns(spark, write_text):
             if "FileScan csv" in ln][0]
     schema = scan.split("ReadSchema: ")[1]
     assert "women" in schema and "other" not in schema and "extra" not in schema
+
+
+def test_window_filter_checks_every_date_but_counts_only_inside(spark, write_text):
+    from areacast.operators.filters import within
+    bad_date = read_daily_summary(spark, write_text(
+        "w/a.csv", "date,area,total\n2021-01-10,ABR,5\n2021-13-01,ABR,5\n"))
+    with pytest.raises(PySparkException, match="cannot parse date"):
+        within(bad_date, "date", "2021-01-01", "2021-01-31").collect()
+    bad_count_outside = read_daily_summary(spark, write_text(
+        "w/b.csv", "date,area,total\n2021-01-10,ABR,5\n2021-03-01,ABR,5x\n"))
+    rows = within(bad_count_outside, "date", "2021-01-01", "2021-01-31").collect()
+    assert [r.total for r in rows] == [5]
