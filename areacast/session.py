@@ -16,6 +16,9 @@ RECOMMENDED_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
+    # Once a join's build side is measured and every one of its partitions is
+    # under this size, AQE hashes it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
