@@ -76,3 +76,19 @@ def test_job_command_line(write_text, tmp_path):
     assert res.returncode == 0, res.stderr[-2000:]
     assert "C1 elapsed" in res.stdout and "C3 elapsed" in res.stdout
     assert _read(str(out / "query1_result")).splitlines()[1] == "(ABR,Gennaio);20"
+
+
+def test_shared_totals_cut_the_lineage(spark):
+    """After the checkpoint, the three queries read the saved totals: none of
+    their plans scans the line items again."""
+    from areacast.plans import registry
+    from areacast.plans.queries import forecast_top5, monthly_avg_per_centre
+
+    d = "/root/testdata/sf0.001"
+    per_day = job.shared_daily_totals(spark, d, (registry.C1_WINDOW, registry.C2_WINDOW,
+                                                 registry.C3_WINDOW))
+    summary = per_day.selectExpr("date", "area", "doses as total")
+    centres = spark.createDataFrame([("NATION_3", "x")], "area string, centre string")
+    for df in (forecast_top5(per_day, *registry.C2_WINDOW),
+               monthly_avg_per_centre(centres, summary, *registry.C1_WINDOW)):
+        assert "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
