@@ -20,21 +20,27 @@ Field = tuple[int, str, str]
 
 
 def strict_cast(c: Column, dtype: str, field: str) -> Column:
-    """Parse text to ``date`` (ISO ``yyyy-MM-dd``) or ``bigint`` (optional
-    sign and digits), or keep ``string``. A date or integer field that is
-    empty, missing from a short line, or does not parse raises; a string field
-    may be empty (null)."""
+    """Parse text to ``date`` (ISO ``yyyy-MM-dd``, a real calendar day) or
+    ``bigint`` (optional sign and digits), or keep ``string``. A date or
+    integer field that is empty, missing from a short line, or does not parse
+    raises; a string field may be empty (null).
+
+    The shape is checked with a regular expression and the value with a
+    ``try_cast`` (an impossible day such as 2021-02-30 gives null); the error
+    branch of ``coalesce`` runs only when that result is null, so each field
+    is parsed once.
+    """
     if dtype == "string":
         return c
     if dtype == "date":
-        parsed = F.try_to_date(c, "yyyy-MM-dd")
+        parsed = F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c.try_cast("date"))
     elif dtype in ("bigint", "int"):
         parsed = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast(dtype))
     else:
         parsed = c.try_cast(dtype)
     shown = F.coalesce(c, F.lit("<empty>"))
     bad = F.raise_error(F.concat(F.lit(f"cannot parse {field} as {dtype}: "), shown))
-    return F.when(parsed.isNull(), bad).otherwise(parsed)
+    return F.coalesce(parsed, bad)
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field],

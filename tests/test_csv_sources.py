@@ -63,7 +63,9 @@ def test_headerless_positional_scan(spark, write_text):
 
 @pytest.mark.parametrize("line", ["2021-13-01,ABR,5", "2021-1-5,ABR,5", "2021-01-05,ABR,5x",
                                   "2021-01-05,ABR, 5", "2021-01-05,ABR,5.0", "2021-01-05,ABR,",
-                                  "2021-01-05,ABR", ",ABR,5"])
+                                  "2021-01-05,ABR", ",ABR,5",
+                                  "2021-02-30,ABR,5", "2021-02-29,ABR,5", "2021-01-05T00,ABR,5",
+                                  "20210105,ABR,5", "2021-01-05 ,ABR,5"])
 def test_bad_date_or_integer_raises(spark, write_text, line):
     df = read_daily_summary(spark, write_text("s.csv", "date,area,total\n" + line + "\n"))
     with pytest.raises(PySparkException, match="cannot parse"):
