@@ -33,9 +33,9 @@ def strict_cast(c: Column, dtype: str, field: str) -> Column:
     if dtype == "string":
         return c
     if dtype == "date":
-        parsed = F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c.try_cast("date"))
+        parsed = F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), c.try_cast("date"))
     elif dtype in ("bigint", "int"):
-        parsed = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast(dtype))
+        parsed = F.when(c.rlike(r"^[+-]?[0-9]+\z"), c.try_cast(dtype))
     else:
         parsed = c.try_cast(dtype)
     shown = F.coalesce(c, F.lit("<empty>"))

@@ -164,3 +164,11 @@ def test_window_filter_checks_every_date_but_counts_only_inside(spark, write_tex
         "w/b.csv", "date,area,total\n2021-01-10,ABR,5\n2021-03-01,ABR,5x\n"))
     rows = within(bad_count_outside, "date", "2021-01-01", "2021-01-31").collect()
     assert [r.total for r in rows] == [5]
+
+
+def test_crlf_files_parse_and_stray_carriage_returns_raise(spark, write_text):
+    ok = read_daily_summary(spark, write_text("crlf/a.csv", "date,area,total\r\n2021-01-10,ABR,5\r\n"))
+    assert [(str(r.date), r.area, r.total) for r in ok.collect()] == [("2021-01-10", "ABR", 5)]
+    bad = read_daily_summary(spark, write_text("crlf/b.csv", 'date,area,total\n2021-01-10,ABR,"5\r"\n'))
+    with pytest.raises(PySparkException, match="cannot parse"):
+        bad.collect()
