@@ -92,3 +92,19 @@ def test_shared_totals_cut_the_lineage(spark):
     for df in (forecast_top5(per_day, *registry.C2_WINDOW),
                monthly_avg_per_centre(centres, summary, *registry.C1_WINDOW)):
         assert "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_job_window_flags(spark, write_text, tmp_path):
+    out = tmp_path / "windows"
+    args = job.parse_args([
+        "--centres", write_text("wa/c.csv", CENTRES_CSV),
+        "--summary", write_text("wb/s.csv", SUMMARY_CSV),
+        "--detail", write_text("wc/d.csv", DETAIL_CSV),
+        "--out", str(out), "--c1-window", "2021-01-01", "2021-02-28",
+        "--c2-window", "2021-02-28", "2021-04-01",
+    ])
+    job.run(spark, args)
+    assert _read(str(out / "query1_result")).splitlines()[1:] == [
+        "(ABR,Gennaio);20", "(BAS,Febbraio);3"]
+    # only March is left for the forecast: ABR's two March days give 62 on April 1st
+    assert _read(str(out / "query2_result")).splitlines()[1:] == ["(2021-04-01,20-29);[(62,ABR)]"]
