@@ -20,3 +20,10 @@ def test_bench_prints_one_json_line():
     assert set(rec["queries"]) == {"monthly_avg_per_centre", "forecast_top5",
                                    "monthly_avg_per_centre_sql"}
     assert abs(rec["value"] - sum(rec["queries"].values())) < 1e-3
+
+
+def test_explain_tool_prints_final_plan():
+    out = subprocess.run([sys.executable, "-m", "areacast.plans.explain", "--tables",
+                          "/root/testdata/sf0.001", "--final", "monthly_avg_per_centre"],
+                         cwd=ROOT, capture_output=True, text=True, timeout=600, check=True).stdout
+    assert "==== monthly_avg_per_centre ====" in out and "isFinalPlan=true" in out
