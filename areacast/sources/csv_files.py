@@ -9,6 +9,7 @@ are parsed (CSV column pruning).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def strict_cast(c: Column, dtype: str, field: str) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field],
-             header: bool = True, sep: str = ",") -> DataFrame:
+             header: bool = True, sep: str = ",", check_all: bool = False) -> DataFrame:
     """Read CSV file(s) and return the ``fields`` (position, name, type).
 
     With ``header=True`` the first line of *every* file is a header and is
@@ -55,28 +56,38 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Fi
     parsing, so a field that a query reads only for rows its filter keeps
     (e.g. the count of a row outside the date window) is not checked on the
     other rows; the field a filter itself uses (the date) is checked on every
-    row.
+    row. With ``check_all=True`` a validity filter that parses every checked
+    field comes before any later filter, so any bad row raises, at the cost
+    of parsing those fields on every row.
     """
     raw = (spark.read.option("header", header).option("sep", sep)
                 .option("mode", "PERMISSIVE").csv(path))
     raw = raw.toDF(*[f"_c{i}" for i in range(len(raw.columns))])
+    if check_all:
+        checks = [strict_cast(F.col(f"_c{pos}"), dtype, name).isNotNull()
+                  for pos, name, dtype in fields if dtype != "string"]
+        if checks:
+            raw = raw.where(reduce(lambda a, b: a & b, checks))
     return raw.select(*[strict_cast(F.col(f"_c{pos}"), dtype, name).alias(name)
                         for pos, name, dtype in fields])
 
 
-def read_centres(spark: SparkSession, path, header: bool = True) -> DataFrame:
+def read_centres(spark: SparkSession, path, header: bool = True,
+                 check_all: bool = False) -> DataFrame:
     """(area, centre): one row per vaccination centre."""
-    return read_csv(spark, path, CENTRES_FIELDS, header)
+    return read_csv(spark, path, CENTRES_FIELDS, header, check_all=check_all)
 
 
-def read_daily_summary(spark: SparkSession, path, header: bool = True) -> DataFrame:
+def read_daily_summary(spark: SparkSession, path, header: bool = True,
+                       check_all: bool = False) -> DataFrame:
     """(date, area, total): vaccinations per day and area."""
-    return read_csv(spark, path, DAILY_SUMMARY_FIELDS, header)
+    return read_csv(spark, path, DAILY_SUMMARY_FIELDS, header, check_all=check_all)
 
 
-def read_daily_detail(spark: SparkSession, path, header: bool = True) -> DataFrame:
+def read_daily_detail(spark: SparkSession, path, header: bool = True,
+                      check_all: bool = False) -> DataFrame:
     """(date, supplier, area, age_band, doses): per day, supplier, area and band."""
-    return read_csv(spark, path, DAILY_DETAIL_FIELDS, header)
+    return read_csv(spark, path, DAILY_DETAIL_FIELDS, header, check_all=check_all)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:

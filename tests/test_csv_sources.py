@@ -172,3 +172,13 @@ def test_crlf_files_parse_and_stray_carriage_returns_raise(spark, write_text):
     bad = read_daily_summary(spark, write_text("crlf/b.csv", 'date,area,total\n2021-01-10,ABR,"5\r"\n'))
     with pytest.raises(PySparkException, match="cannot parse"):
         bad.collect()
+
+
+def test_check_all_raises_on_a_bad_count_outside_the_window(spark, write_text):
+    from areacast.operators.filters import within
+    path = write_text("chk/b.csv", "date,area,total\n2021-01-10,ABR,5\n2021-03-01,ABR,5x\n")
+    lazy = within(read_daily_summary(spark, path), "date", "2021-01-01", "2021-01-31")
+    assert [r.total for r in lazy.collect()] == [5]
+    strict = within(read_daily_summary(spark, path, check_all=True), "date", "2021-01-01", "2021-01-31")
+    with pytest.raises(PySparkException, match="cannot parse total"):
+        strict.collect()
