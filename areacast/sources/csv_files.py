@@ -45,20 +45,19 @@ def strict_cast(c: Column, dtype: str, field: str) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field],
-             header: bool = True, sep: str = ",", check_all: bool = False) -> DataFrame:
+             header: bool = True, sep: str = ",", check_all: bool = True) -> DataFrame:
     """Read CSV file(s) and return the ``fields`` (position, name, type).
 
     With ``header=True`` the first line of *every* file is a header and is
     skipped; a data line that happens to contain header text is kept. With
     ``header=False`` every line is data and columns are taken by position.
 
-    A field is checked when it is evaluated. Filters are pushed below the
-    parsing, so a field that a query reads only for rows its filter keeps
-    (e.g. the count of a row outside the date window) is not checked on the
-    other rows; the field a filter itself uses (the date) is checked on every
-    row. With ``check_all=True`` a validity filter that parses every checked
-    field comes before any later filter, so any bad row raises, at the cost
-    of parsing those fields on every row.
+    By default (``check_all=True``) a validity filter that parses every
+    checked field comes before any later filter, so any bad row raises, even
+    one a date window would drop. With ``check_all=False`` a field is checked
+    only when it is evaluated: filters are pushed below the parsing, so the
+    count of a row outside the date window is never parsed (faster on large
+    CSV input; the date itself is still checked on every row).
     """
     raw = (spark.read.option("header", header).option("sep", sep)
                 .option("mode", "PERMISSIVE").csv(path))
@@ -73,19 +72,19 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Fi
 
 
 def read_centres(spark: SparkSession, path, header: bool = True,
-                 check_all: bool = False) -> DataFrame:
+                 check_all: bool = True) -> DataFrame:
     """(area, centre): one row per vaccination centre."""
     return read_csv(spark, path, CENTRES_FIELDS, header, check_all=check_all)
 
 
 def read_daily_summary(spark: SparkSession, path, header: bool = True,
-                       check_all: bool = False) -> DataFrame:
+                       check_all: bool = True) -> DataFrame:
     """(date, area, total): vaccinations per day and area."""
     return read_csv(spark, path, DAILY_SUMMARY_FIELDS, header, check_all=check_all)
 
 
 def read_daily_detail(spark: SparkSession, path, header: bool = True,
-                      check_all: bool = False) -> DataFrame:
+                      check_all: bool = True) -> DataFrame:
     """(date, supplier, area, age_band, doses): per day, supplier, area and band."""
     return read_csv(spark, path, DAILY_DETAIL_FIELDS, header, check_all=check_all)
 

@@ -112,12 +112,12 @@ def test_job_window_flags(spark, write_text, tmp_path):
     assert _read(str(out / "query2_result")).splitlines()[1:] == ["(2021-04-01,20-29);[(62,ABR)]"]
 
 
-def test_job_check_all_rows_flag(spark, write_text, tmp_path):
+def test_job_checks_every_row_unless_lazy(spark, write_text, tmp_path):
     from pyspark.errors import PySparkException
     summary = SUMMARY_CSV + "2021-08-01,ABR,oops,x\n"     # outside every window
     base = ["--centres", write_text("ka/c.csv", CENTRES_CSV),
             "--summary", write_text("kb/s.csv", summary),
             "--detail", write_text("kc/d.csv", DETAIL_CSV)]
-    job.run(spark, job.parse_args(base + ["--out", str(tmp_path / "lazy")]))
     with pytest.raises(PySparkException, match="cannot parse total"):
-        job.run(spark, job.parse_args(base + ["--out", str(tmp_path / "strict"), "--check-all-rows"]))
+        job.run(spark, job.parse_args(base + ["--out", str(tmp_path / "strict")]))
+    job.run(spark, job.parse_args(base + ["--out", str(tmp_path / "lazy"), "--lazy-checks"]))
