@@ -24,7 +24,12 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from areacast.operators.aggregates import daily_total  # noqa: E402
-from areacast.operators.export import MONTHLY_HEADER, TOP5_HEADER, monthly_lines, top5_lines  # noqa: E402
+from areacast.operators.export import (  # noqa: E402
+    MONTHLY_HEADER,
+    TOP5_HEADER,
+    monthly_lines,
+    top5_lines,
+)
 from areacast.operators.filters import within  # noqa: E402
 from areacast.plans import registry  # noqa: E402
 from areacast.plans.queries import (  # noqa: E402

@@ -173,7 +173,8 @@ FROM ranking GROUP BY date, age_band""",
 SELECT DISTINCT area, CAST(date_trunc('month', date) AS DATE) AS month_start FROM summary""",
     "count_by_key": """
 SELECT date, area, age_band, COUNT(*) AS n_rows FROM detail GROUP BY date, area, age_band""",
-    "key_count": "SELECT COUNT(*) AS n_keys FROM (SELECT DISTINCT month_start, area, age_band FROM active)",
+    "key_count": """
+SELECT COUNT(*) AS n_keys FROM (SELECT DISTINCT month_start, area, age_band FROM active)""",
     "row_count": "SELECT COUNT(*) AS n_rows FROM detail",
     "sort_composite": "SELECT * FROM per_day ORDER BY date, area, age_band",
     "first_row": "SELECT * FROM summary ORDER BY date, area, total LIMIT 1",

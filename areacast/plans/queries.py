@@ -71,7 +71,8 @@ def monthly_avg_per_centre_sql(spark: SparkSession, centres: DataFrame, daily: D
     gives null. Unordered. Columns: area, month (``Jan``), avg_per_centre.
     """
     return spark.sql(MONTHLY_AVG_SQL, args={"lo": as_date(lo), "hi": as_date(hi)},
-                     daily=daily.select("date", "area", F.col("total").cast("bigint").alias("total")),
+                     daily=daily.select("date", "area",
+                                        F.col("total").cast("bigint").alias("total")),
                      centres=centres.select("area", "centre"))
 
 
