@@ -45,7 +45,13 @@ def test_c1_scan_is_pruned_and_filtered(spark):
 
 def test_c2_topk_is_limited_before_the_shuffle(spark):
     text = plan_text(entry.queries()["forecast_top5"](spark, SF))
-    assert "WindowGroupLimit" in text and "Partial" in text
+    partial = [ln for ln in text.splitlines()
+               if "WindowGroupLimit" in ln and ln.rstrip().endswith("row_number(), 5, Partial")]
+    assert partial, text
+    # the partial limit sits below the exchange on (date, age_band)
+    lines = text.splitlines()
+    exchange = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(date" in ln]
+    assert exchange and lines.index(partial[0]) > exchange[0]
     scan = lineitem_scan(spark, entry.queries()["forecast_top5"](spark, SF))
     assert "GreaterThanOrEqual(l_shipdate,1997-02-01T00:00)" in scan
 
