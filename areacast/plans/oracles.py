@@ -112,6 +112,39 @@ FROM (SELECT area, CAST(date_trunc('month', date) AS DATE) AS month_start,
       GROUP BY 1, 2) m
 JOIN centre_counts c ON m.area = c.area""",
     "forecast_top5": "SELECT * FROM c2 ORDER BY date, age_band",
+    "forecast_top5_ranked": """
+SELECT date, age_band, CAST(rank AS INTEGER) AS rank, forecast, area
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, age_band
+                                   ORDER BY forecast DESC, area ASC) AS rank
+      FROM c2_forecasts)
+WHERE rank <= 5""",
+    "monthly_avg_per_centre_closed": """
+SELECT m.area, CAST(month(m.month_start) AS INTEGER) AS month,
+       CAST((m.total // c.n_centres) // dayofmonth(last_day(m.month_start)) AS BIGINT)
+         AS avg_per_centre
+FROM (SELECT area, CAST(date_trunc('month', date) AS DATE) AS month_start,
+             CAST(SUM(total) AS BIGINT) AS total
+      FROM summary WHERE date >= DATE '1997-01-01' AND date <= DATE '1997-05-31'
+      GROUP BY 1, 2) m
+JOIN centre_counts c ON m.area = c.area
+ORDER BY area, month""",
+    "forecast_top3_three_days": """
+SELECT date, age_band, CAST(rank AS INTEGER) AS rank, forecast, area
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, age_band
+                                   ORDER BY forecast DESC, area ASC) AS rank
+      FROM (SELECT CAST(month_start + INTERVAL 1 MONTH AS DATE) AS date, area, age_band,
+                   ((n * sxx - sx * sx) * sy
+                    + (n * sxy - sx * sy) * (n * (dayofmonth(last_day(month_start)) + 1) - sx))
+                   // (n * (n * sxx - sx * sx)) AS forecast
+            FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month_start, area, age_band,
+                         COUNT(*) FILTER (WHERE doses > 0) AS active_days, COUNT(*) AS n,
+                         CAST(SUM(dayofmonth(date)) AS BIGINT) AS sx,
+                         CAST(SUM(doses) AS BIGINT) AS sy,
+                         CAST(SUM(dayofmonth(date) * doses) AS BIGINT) AS sxy,
+                         CAST(SUM(dayofmonth(date) * dayofmonth(date)) AS BIGINT) AS sxx
+                  FROM c2_window GROUP BY 1, 2, 3)
+            WHERE active_days >= 3))
+WHERE rank <= 3""",
     "scan_csv_positional": "SELECT date, area, total FROM summary",
     "scan_csv_header": "SELECT area, centre FROM centres",
     "parse_typed_fields": """

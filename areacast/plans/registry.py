@@ -75,6 +75,23 @@ def forecast_top5(spark, d):
     return q.forecast_top5(_detail(spark, d), *C2_WINDOW, k=TOP_K)
 
 
+def forecast_top5_ranked(spark, d):
+    """C2 before grouping into lists: one row per (date, band, rank) in the
+    campaign window."""
+    return q.forecast_ranking(_detail(spark, d), *C2_WINDOW, k=TOP_K)
+
+
+def monthly_avg_per_centre_closed(spark, d):
+    """C1 with both window ends included."""
+    return q.monthly_avg_per_centre(_centres(spark, d), _summary(spark, d), *C3_WINDOW,
+                                    closed=True)
+
+
+def forecast_top3_three_days(spark, d):
+    """C2 ranking with k = 3 and at least three active days per group."""
+    return q.forecast_ranking(_detail(spark, d), *C2_WINDOW, k=3, min_active_days=3)
+
+
 # ---- sources ----------------------------------------------------------------
 
 def scan_csv_positional(spark, d):
@@ -296,6 +313,9 @@ QUERIES: dict[str, Query] = {
     "monthly_avg_per_centre": monthly_avg_per_centre,
     "monthly_avg_per_centre_sql": monthly_avg_per_centre_sql,
     "forecast_top5": forecast_top5,
+    "forecast_top5_ranked": forecast_top5_ranked,
+    "monthly_avg_per_centre_closed": monthly_avg_per_centre_closed,
+    "forecast_top3_three_days": forecast_top3_three_days,
     "scan_csv_positional": scan_csv_positional,
     "scan_csv_header": scan_csv_header,
     "parse_typed_fields": parse_typed_fields,
