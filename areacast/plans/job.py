@@ -4,7 +4,7 @@
         --detail C.csv --out hdfs:///results
     spark-submit areacast/plans/job.py --tables /path/to/parquet --out ...
 
-C1 is written as ``<out>/query1_result``, C2 as ``<out>/query2_result``
+C1 is written as ``<out>/monthly_avg_per_centre``, C2 as ``<out>/forecast_top5``
 (semicolon-separated, with the report headers); C3 is printed. Elapsed time
 per query is printed too.
 """
@@ -113,9 +113,9 @@ def run(spark: SparkSession, args) -> dict[str, float]:
     out = args.out.rstrip("/")
     steps = {
         "C1": lambda: write_report(monthly_lines(monthly_avg_per_centre(centres, summary, *w1)),
-                                   f"{out}/query1_result", MONTHLY_HEADER),
+                                   f"{out}/monthly_avg_per_centre", MONTHLY_HEADER),
         "C2": lambda: write_report(top5_lines(forecast_top5(detail, *w2)),
-                                   f"{out}/query2_result", TOP5_HEADER),
+                                   f"{out}/forecast_top5", TOP5_HEADER),
         "C3": lambda: monthly_avg_per_centre_sql(spark, centres, summary, *w3)
                       .show(args.show, truncate=False),
     }

@@ -24,8 +24,8 @@ def test_job_writes_both_reports(spark, write_text, tmp_path, capsys):
     ])
     elapsed = job.run(spark, args)
     assert set(elapsed) == {"C1", "C2", "C3"}
-    q1 = _read(str(tmp_path / "results" / "query1_result"))
-    q2 = _read(str(tmp_path / "results" / "query2_result"))
+    q1 = _read(str(tmp_path / "results" / "monthly_avg_per_centre"))
+    q2 = _read(str(tmp_path / "results" / "forecast_top5"))
     assert q1.splitlines()[1] == "(ABR,Gennaio);20"
     assert q2.splitlines()[2] == "(2021-04-01,20-29);[(62,ABR)]"
     assert "36.29032258" in capsys.readouterr().out
@@ -52,8 +52,8 @@ def test_job_on_tables_matches_direct_queries(spark, tmp_path, capsys):
                monthly_lines(registry.monthly_avg_per_centre(spark, d)).collect()]
     direct2 = [f"{r.label};{r.value}" for r in
                top5_lines(registry.forecast_top5(spark, d)).collect()]
-    assert _read(str(out / "query1_result")).splitlines()[1:] == direct1
-    assert _read(str(out / "query2_result")).splitlines()[1:] == direct2
+    assert _read(str(out / "monthly_avg_per_centre")).splitlines()[1:] == direct1
+    assert _read(str(out / "forecast_top5")).splitlines()[1:] == direct2
     c3_direct = {(r.area, r.month, r.avg_per_centre)
                  for r in registry.monthly_avg_per_centre_sql(spark, d).collect()}
     cells = [[c.strip() for c in ln.strip("|").split("|")]
@@ -77,7 +77,7 @@ def test_job_command_line(write_text, tmp_path):
     res = subprocess.run(cmd, capture_output=True, text=True, timeout=600, env=env)
     assert res.returncode == 0, res.stderr[-2000:]
     assert "C1 elapsed" in res.stdout and "C3 elapsed" in res.stdout
-    assert _read(str(out / "query1_result")).splitlines()[1] == "(ABR,Gennaio);20"
+    assert _read(str(out / "monthly_avg_per_centre")).splitlines()[1] == "(ABR,Gennaio);20"
 
 
 def test_shared_totals_cut_the_lineage(spark):
@@ -106,10 +106,10 @@ def test_job_window_flags(spark, write_text, tmp_path):
         "--c2-window", "2021-02-28", "2021-04-01",
     ])
     job.run(spark, args)
-    assert _read(str(out / "query1_result")).splitlines()[1:] == [
+    assert _read(str(out / "monthly_avg_per_centre")).splitlines()[1:] == [
         "(ABR,Gennaio);20", "(BAS,Febbraio);3"]
     # only March is left for the forecast: ABR's two March days give 62 on April 1st
-    assert _read(str(out / "query2_result")).splitlines()[1:] == ["(2021-04-01,20-29);[(62,ABR)]"]
+    assert _read(str(out / "forecast_top5")).splitlines()[1:] == ["(2021-04-01,20-29);[(62,ABR)]"]
 
 
 def test_job_checks_every_row_unless_lazy(spark, write_text, tmp_path):
