@@ -133,8 +133,10 @@ def main(argv=None) -> None:
     args = parse_args(argv)
     spark = (SparkSession.builder.appName("areacast-job")
              .config("spark.ui.enabled", "false").getOrCreate())
+    submitted = spark.sparkContext.getConf()
     for key, value in RECOMMENDED_CONF.items():
-        spark.conf.set(key, value)
+        if not submitted.contains(key):   # a value set at submit time wins
+            spark.conf.set(key, value)
     if args.shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.max_partition_bytes:
