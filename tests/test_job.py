@@ -121,3 +121,29 @@ def test_job_checks_every_row_unless_lazy(spark, write_text, tmp_path):
     with pytest.raises(PySparkException, match="cannot parse total"):
         job.run(spark, job.parse_args(base + ["--out", str(tmp_path / "strict")]))
     job.run(spark, job.parse_args(base + ["--out", str(tmp_path / "lazy"), "--lazy-checks"]))
+
+
+def test_shared_dir_refuses_a_local_folder_on_a_cluster():
+    """Without spark.checkpoint.dir a cluster run must fail instead of using
+    a folder only the driver can see (stand-in session, no cluster needed)."""
+    from areacast.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
