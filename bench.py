@@ -2,9 +2,10 @@
 
 Runs C1 (monthly_avg_per_centre), C2 (forecast_top5) and C3
 (monthly_avg_per_centre_sql) on the tables in $BENCH_SF_DIR (default
-/root/testdata/sf0.1) on local[$BENCH_CPUS] (default 8): one warm-up run,
-then the median wall time of $BENCH_REPS (default 5) runs, each writing the
-full result to Spark's no-op sink. Prints one JSON line on stdout.
+/root/testdata/sf0.1) on local[$BENCH_CPUS] (default 8): $BENCH_WARMUP
+(default 3) warm-up runs, then the median wall time of $BENCH_REPS (default
+5) runs, each writing the full result to Spark's no-op sink. Prints one JSON
+line on stdout and the single run times on stderr.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "5"))
+    warmup = int(os.environ.get("BENCH_WARMUP", "3"))
     spark = local_session(cpus, shuffle_partitions=cpus, app_name="areacast-bench")
 
     medians = {}
@@ -45,8 +47,11 @@ def main() -> None:
             df.write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        run()  # warm-up: JIT, file listing, broadcast of dimensions
-        medians[name] = round(statistics.median(run() for _ in range(reps)), 4)
+        for _ in range(warmup):   # JIT of generated code, file listing, dimension reads
+            run()
+        times = [run() for _ in range(reps)]
+        medians[name] = round(statistics.median(times), 4)
+        print(f"{name}: " + " ".join(f"{t:.3f}" for t in times), file=sys.stderr)
 
     print(json.dumps({
         "metric": "headline_queries_median_sum",
@@ -56,6 +61,7 @@ def main() -> None:
         "sf": _sf_of(sf_dir),
         "cpus": cpus,
         "reps": reps,
+        "warmup": warmup,
     }))
     spark.stop()
 
