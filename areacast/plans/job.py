@@ -141,8 +141,11 @@ def main(argv=None) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.max_partition_bytes:
         spark.conf.set("spark.sql.files.maxPartitionBytes", args.max_partition_bytes)
-    for name, sec in run(spark, args).items():
-        print(f"{name} elapsed: {sec * 1000:.0f} ms")
+    try:
+        for name, sec in run(spark, args).items():
+            print(f"{name} elapsed: {sec * 1000:.0f} ms")
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":
