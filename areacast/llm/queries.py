@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import quality, simhash
+from areacast.llm import decontaminate, quality, simhash
 from areacast.llm.common import table
 
 
@@ -10,10 +10,40 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_classifier(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op7_quality_classifier)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_benchmark_decontamination, op7_quality_classifier)}
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_benchmark_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[i:i + 12], ' ') AS p
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT k FROM win),
+occ AS (
+  SELECT c.r, c.i, c.k, win.item_id
+  FROM (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS p
+        FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)) c
+  JOIN win ON win.k = c.k AND win.p = c.p
+),
+hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS j FROM occ) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+""",
+}
