@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import decontaminate, quality, simhash
+from areacast.llm import decontaminate, passages, quality, simhash
 from areacast.llm.common import table
 
 
@@ -18,7 +18,11 @@ def op7_quality_classifier(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_benchmark_decontamination, op7_quality_classifier)}
+def op10_substring_dedup(spark, sf_dir):
+    return passages.repeat_removal(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_benchmark_decontamination, op7_quality_classifier, op10_substring_dedup)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
@@ -45,5 +49,16 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+""",
+    "op10_substring_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS p
+        FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13 AND doc_id IS NOT NULL)),
+least_id AS (SELECT p, min(doc_id) AS m FROM win GROUP BY p),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS j FROM win JOIN least_id USING (p) WHERE m < doc_id),
+word AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS t FROM word ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
 """,
 }
