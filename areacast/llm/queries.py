@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import decontaminate, passages, quality, simhash
+from areacast.llm import chat, decontaminate, langid, passages, quality, simhash
 from areacast.llm.common import table
 
 
@@ -10,6 +10,15 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir):
+    return langid.language_predictions(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_formatting(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.conversation_digests(rows.unionByName(chat.marked_conversation(spark)))
+
+
 def op5_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -22,7 +31,7 @@ def op10_substring_dedup(spark, sf_dir):
     return passages.repeat_removal(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_benchmark_decontamination, op7_quality_classifier, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination, op7_quality_classifier, op10_substring_dedup)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
