@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import chat, decontaminate, langid, passages, quality, simhash
+from areacast.llm import chat, decontaminate, langid, lm, passages, quality, simhash
 from areacast.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op5_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_lm_scoring(spark, sf_dir):
+    return lm.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,7 +35,7 @@ def op10_substring_dedup(spark, sf_dir):
     return passages.repeat_removal(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination, op7_quality_classifier, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination, op6_lm_scoring, op7_quality_classifier, op10_substring_dedup)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
