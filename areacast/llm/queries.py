@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from areacast.llm import chat, decontaminate, langid, lm, passages, quality, simhash
+from areacast.llm import chat, decontaminate, langid, lm, neighbours, passages, quality, simhash
 from areacast.llm.common import table
 
 
+def op1_multiprobe_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicate_components(table(spark, sf_dir, "documents"))
 
@@ -35,7 +40,7 @@ def op10_substring_dedup(spark, sf_dir):
     return passages.repeat_removal(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination, op6_lm_scoring, op7_quality_classifier, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_multiprobe_neighbours, op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination, op6_lm_scoring, op7_quality_classifier, op10_substring_dedup)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
