@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import chat, decontaminate, langid, lm, neighbours, passages, quality, simhash
+from areacast.llm import chat, decontaminate, langid, lm, mixing, neighbours, passages, quality, simhash, tokens
 from areacast.llm.common import table
 
 
@@ -36,11 +36,25 @@ def op7_quality_classifier(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_token_files(spark, sf_dir):
+    return tokens.token_digests(table(spark, sf_dir, "documents"))
+
+
+def op9_target_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark, sf_dir):
     return passages.repeat_removal(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_multiprobe_neighbours, op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination, op6_lm_scoring, op7_quality_classifier, op10_substring_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_multiprobe_neighbours, op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination,
+        op6_lm_scoring, op7_quality_classifier, op8_token_files, op9_target_mixing, op10_substring_dedup,
+    )
+}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
