@@ -22,12 +22,13 @@ one file without blocks.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
+from itertools import accumulate, batched, chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -43,7 +44,7 @@ from areacast.session import fresh_path
 
 TOKENIZER, SYMBOLS, END = "word_bpe_49k.json", 49_408, 2
 #: Words a worker keeps with their ids; beyond, it begins anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 900_000
 #: Text of the documents tokenized at once.
 _PIECE = 4 << 20
 _MARKS = b".,;:!?"
@@ -51,67 +52,106 @@ _MARKS = b".,;:!?"
 
 @cache
 def _tokenizer(path: str):
+    # Tasks are the parallelism; the library's threads would add to them.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
 class WordIds:
-    """The ids of words, in one array; a word's number gives its place."""
+    """The ids of words, in one array; a word's number gives its place.
+
+    Up to ``KNOWN_WORDS`` words are kept. Then a text's further words are
+    encoded for the moment, or, if they are many, the table is begun anew.
+    """
 
     def __init__(self, path: str):
-        self.path = path
+        self.tokenizer = _tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.parts: dict[bytes, list[int]] = {}
-        self.flat, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    @staticmethod
-    def _split(word: bytes) -> tuple[bytes, bytes]:
-        """A word and the marks at its end, which the tokenizer parts anyway
-        after a letter or digit; lower case in ASCII, unless the word may hold
-        a special token."""
-        if b"<|" in word:
-            return word, b""
-        word = word.lower()
-        core = word.rstrip(_MARKS)
-        if core == word or not core:
-            return word, b""
-        last = core[-1]
-        sure = 48 <= last <= 57 or 97 <= last <= 122 or last >= 128 and core.decode()[-1].isalpha()
-        return (core, word[len(core) :]) if sure else (word, b"")
-
-    def add(self, words: set[bytes]) -> None:
-        """Encodes the words that are new."""
-        new = [w for w in words if w not in self.number]
-        if len(self.number) + len(new) > KNOWN_WORDS:
-            self.clear()
-            new = list(words)
-        split = [self._split(w) for w in new]
-        parts = list({p for s in split for p in s if p and p not in self.parts})
-        encoded = _tokenizer(self.path).encode_batch([p.decode() for p in parts], add_special_tokens=False)
-        self.parts.update(zip(parts, (e.ids for e in encoded)))
-        self.parts[b""] = []
-        ids = [self.parts[a] + self.parts[b] for a, b in split]
-        first = len(self.number)
-        self.number.update(zip(new, range(first, first + len(new))))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32)])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+        self.number: dict[bytes, int] = {b"": 0}
+        self.flat, self.offsets = np.zeros(0, np.int32), np.zeros(2, np.int64)
+
+    def _append(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.offsets) - 1
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
+        self.number.update(zip(words, range(first, first + len(words))))
+
+    def _expand(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered words one after the other, and their counts."""
+        sizes = self.offsets[at + 1] - self.offsets[at]
+        through = np.cumsum(sizes)
+        place = np.repeat(self.offsets[at] - (through - sizes), sizes)
+        place += np.arange(len(place))
+        return self.flat[place], sizes
+
+    def _encode(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        letters = [t.isalpha() for t in texts]
+        # Words of letters alone are one token run each, which its end marks; so
+        # many of them can be encoded as one text.
+        whole = [w for w, a in zip(words, letters) if a]
+        joined = [" ".join(t) for t in batched((t for t, a in zip(texts, letters) if a), 64)]
+        flat = np.fromiter(chain.from_iterable(e.ids for e in self._ids(joined)), np.int64)
+        stops = np.flatnonzero(self.ends[flat]) + 1
+        if len(stops) == len(whole):
+            self._append(whole, flat, np.diff(stops, prepend=0))
+            words, texts = [[x for x, a in zip(v, letters) if not a] for v in (words, texts)]
+        ids = [e.ids for e in self._ids(texts)]
+        self._append(words, np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _ids(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+
+    def add(self, new: list[bytes]) -> None:
+        """Encodes words that are not known. Marks at a word's end are encoded
+        apart, as the tokenizer parts them from a letter or digit before them;
+        ASCII is lower-cased, unless the word may hold a special token."""
+        known = self.number
+        cores = [w if b"<|" in w else w.lower() for w in new]
+        tails = [b""] * len(new)
+        for k, (word, core) in enumerate(zip(cores, [c.rstrip(_MARKS) for c in cores])):
+            if len(core) != len(word) and core and b"<|" not in word:
+                last = core[-1]
+                if 97 <= last <= 122 or 48 <= last <= 57 or last >= 128 and core.decode()[-1].isalpha():
+                    cores[k], tails[k] = core, word[len(core) :]
+        self._encode([w for w in dict.fromkeys(chain(cores, tails)) if w not in known])
+        marked = [k for k, t in enumerate(tails) if t]
+        known.update((w, known[c]) for w, c, t in zip(new, cores, tails) if not t)
+        pairs = np.array([known[x] for k in marked for x in (cores[k], tails[k])], np.int64)
+        flat, sizes = self._expand(pairs)
+        self._append([new[k] for k in marked], flat, sizes.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end after each, and their counts by text."""
-        words = [t.split() if t else [] for t in texts]
-        self.add(set().union(*words))
-        counts = np.array([len(w) for w in words], np.int64)
-        at = np.fromiter((n for w in words for n in map(self.number.__getitem__, w)), np.int64, int(counts.sum()))
-        sizes = self.offsets[at + 1] - self.offsets[at]
-        through = np.append(0, np.cumsum(sizes))
+        split = [t.split() if t else [] for t in texts]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        new = list(dict.fromkeys(words[k] for k in missing))
+        full = len(self.number) + len(new) > KNOWN_WORDS
+        if full and 4 * len(missing) > len(words):
+            self.clear()
+            missing, new, full = range(len(words)), list(set(words)), False
+        before = (len(self.number), len(self.flat), len(self.offsets))
+        self.add(new)
+        at[missing] = [self.number[words[k]] for k in missing]
         ends = np.cumsum(counts)
-        sums = through[ends] - through[ends - counts]
-        flat = self.flat[np.repeat(self.offsets[at] - through[:-1], sizes) + np.arange(through[-1])]
-        return np.insert(flat, through[ends], end), sums + 1
+        flat, sizes = self._expand(at)
+        through = np.append(0, np.cumsum(sizes))
+        stops = through[ends]
+        if full:
+            while len(self.number) > before[0]:
+                self.number.popitem()
+            self.flat, self.offsets = self.flat[: before[1]], self.offsets[: before[2]]
+        return np.insert(flat, stops, end), np.diff(stops, prepend=0) + 1
 
 
 @cache
