@@ -268,7 +268,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     # More phrases than one broadcast may hold: a pass for each block, merged by row.
     numbered = written(base.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     for phrases in _chain(first, second, blocks):
-        own = numbered.mapInArrow(_hits_of(spark.sparkContext.broadcast(phrases), ["_row", "text"]), "_row long, text string, " + _FOUND).drop("text")
+        own = numbered.select("_row", "text").mapInArrow(_hits_of(spark.sparkContext.broadcast(phrases), ["_row", "text"]), "_row long, text string, " + _FOUND).drop("text")
         result = own if result is None else result.union(own)
     merged = result.groupBy("_row").agg(
         F.first("n_words").alias("n_words"),

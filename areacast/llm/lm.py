@@ -16,8 +16,8 @@ c counts the word and n and v are the class's tokens and distinct words, in the
 training texts; the rest is one unseen word. So the model's probabilities of
 all words, one unseen word for each class, add up to 1 after any context.
 
-Word counts stay a table. The ``HEAD`` most frequent words go to the tasks,
-which is a fixed bound; the other words of a text are joined to their counts.
+Word counts stay a table. The most frequent words, at most
+``HEAD``, go to the tasks; the other words of a text are joined to their counts.
 
 Defined cases: a null or empty text is its end alone. Rows are scored one by
 one, so repeated ids keep their rows. A null id belongs to the training rows.
@@ -100,7 +100,14 @@ class Vocabulary:
 
 
 def fit_vocabulary(counts: DataFrame) -> Vocabulary:
-    top = counts.where("word != ''").orderBy(F.desc("c"), "word").limit(HEAD).select("word", "hashed", "c").collect()
+    # A threshold on counts, from a histogram of their logarithms, keeps the
+    # frequent words within HEAD without a sort.
+    size = F.floor(F.log2("c") * 16).cast("int")
+    bins = sorted(((r.size, r.n) for r in counts.where("word != ''").groupBy(size.alias("size")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    held = np.cumsum([n for _, n in bins])
+    least = [s for (s, _), h in zip(bins, held) if h <= HEAD]
+    top = counts.where("word != ''").where(size >= (least[-1] if least else 1 << 20)).select("word", "hashed", "c").collect()
+    top.sort(key=lambda r: (-r.c, r.word))
     total = counts.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("word") == "", F.col("c")))).first()
     groups = counts.where("word != ''").groupBy("hashed").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     tokens, types = np.zeros(CLASSES), np.zeros(CLASSES)

@@ -105,7 +105,7 @@ def visited_keys(unit: np.ndarray, functions: int, probes: int = PROBES) -> np.n
                 for s in chosen:
                     which = ranked[:, s]
                     steps[rows, k, which % functions] += np.where(which < functions, -1, 1)
-        visited = (cell[:, None, :] + steps).reshape(-1, functions)
+        visited = (cell[:, None, :] + steps).reshape(steps.shape[0] * steps.shape[1], functions)
         found.append(_key(visited, unit.shape[1], table).reshape(len(unit), -1))
     return np.concatenate(found, axis=1)
 
