@@ -51,3 +51,9 @@ def exact_intercept(n: ColumnOrName, sx: ColumnOrName, sy: ColumnOrName,
     n, sx, sy, sxy, sxx = (col(c) for c in (n, sx, sy, sxy, sxx))
     d = n * sxx - sx * sx
     return F.when(d > 0, (d * sy - (n * sxy - sx * sy) * sx) / (n * d))
+
+
+def required(name: str) -> Column:
+    """A count as bigint; a null raises, so that it cannot vanish in a sum."""
+    missing = F.raise_error(F.lit(f"null in the count column {name}")).cast("bigint")
+    return F.coalesce(F.col(name).cast("bigint"), missing)

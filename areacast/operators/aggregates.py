@@ -9,14 +9,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areacast.functions.arithmetic import required
 from areacast.functions.calendar import month_start
 
 
 def monthly_total(df: DataFrame, key: str = "area", date: str = "date",
                   value: str = "total", out: str = "total") -> DataFrame:
-    """Sum of ``value`` per (key, month). Columns: key, month_start, out."""
+    """Sum of ``value`` per (key, month); a null value raises. Columns: key, month_start, out."""
     return (df.groupBy(F.col(key), month_start(date).alias("month_start"))
-              .agg(F.sum(F.col(value).cast("bigint")).alias(out)))
+              .agg(F.sum(required(value)).alias(out)))
 
 
 def centre_counts(df: DataFrame, key: str = "area", name: str = "centre") -> DataFrame:
@@ -30,8 +31,9 @@ def centre_counts(df: DataFrame, key: str = "area", name: str = "centre") -> Dat
 
 def daily_total(df: DataFrame, keys: Sequence[str] = ("date", "area", "age_band"),
                 value: str = "doses", out: str = "doses") -> DataFrame:
-    """Sum of ``value`` over the rows sharing ``keys`` (e.g. over suppliers)."""
-    return df.groupBy(*keys).agg(F.sum(F.col(value).cast("bigint")).alias(out))
+    """Sum of ``value`` over the rows sharing ``keys`` (e.g. over suppliers); a
+    null value raises."""
+    return df.groupBy(*keys).agg(F.sum(required(value)).alias(out))
 
 
 def count_by_key(df: DataFrame, keys: Sequence[str], out: str = "n_rows") -> DataFrame:

@@ -33,8 +33,9 @@ def within(df: DataFrame, column: str, lo: DateLike, hi: DateLike,
 
 
 def not_contains(df: DataFrame, column: str, text: str) -> DataFrame:
-    """Rows whose ``column`` does not contain ``text`` (nulls are dropped)."""
-    return df.where(~F.col(column).contains(text))
+    """Rows whose ``column`` does not contain ``text`` (a null does
+    not contain it, so its row is kept)."""
+    return df.where(~F.coalesce(F.col(column).contains(text), F.lit(False)))
 
 
 def equals(df: DataFrame, column: str, value) -> DataFrame:

@@ -7,8 +7,10 @@ skewed partitions otherwise)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from areacast.functions.arithmetic import int_div_average
 from areacast.functions.calendar import days_in_month
@@ -32,5 +34,8 @@ def per_centre_average(totals: DataFrame, counts: DataFrame, key: str = "area",
 
 def semi_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys_df`` (left semi join), with
-    the columns of ``df`` in their order."""
-    return df.join(keys_df.select(*on), on=list(on), how="left_semi").select(*df.columns)
+    the columns of ``df`` in their order. Keys compare null-safe: a null key
+    part equals a null, as it does in a group."""
+    keys = keys_df.select(*(F.col(c).alias(f"_key_{i}") for i, c in enumerate(on)))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_key_{i}")) for i, c in enumerate(on)))
+    return df.join(keys, on=same, how="left_semi")

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areacast.functions.arithmetic import exact_forecast, exact_intercept, exact_slope
+from areacast.functions.arithmetic import exact_forecast, exact_intercept, exact_slope, required
 from areacast.functions.calendar import forecast_day, month_start, next_month_start
 from areacast.operators.joins import semi_join
 
@@ -26,11 +26,11 @@ def trend_moments(daily: DataFrame, keys: Sequence[str] = ("area", "age_band"),
     """One row per (month_start, *keys): the moment sums of the points
     (day of month, value) and ``active_days``, the number of points with a
     positive value. Every point enters the fit, zeros included; days without a
-    row are not filled in. Expects one row per date and key (``daily_total``)."""
-    pts = daily.where(F.col(value).isNotNull())
+    row are not filled in. A null value raises. Expects one row per date and
+    key (``daily_total``)."""
     x = F.dayofmonth(F.col(date)).cast("bigint")
-    y = F.col(value).cast("bigint")
-    return pts.groupBy(month_start(date).alias("month_start"), *keys).agg(
+    y = required(value)
+    return daily.groupBy(month_start(date).alias("month_start"), *keys).agg(
         F.count_if(y > 0).alias("active_days"),
         F.count(F.lit(1)).alias("n"),
         F.sum(x).alias("sx"),
@@ -49,7 +49,7 @@ def active_keys(daily: DataFrame, keys: Sequence[str] = ("area", "age_band"),
                 date: str = "date", value: str = "doses", min_days: int = 2) -> DataFrame:
     """(month_start, *keys) with at least ``min_days`` days of positive value."""
     counted = daily.groupBy(month_start(date).alias("month_start"), *keys).agg(
-        F.count_if(F.col(value) > 0).alias("active_days"))
+        F.count_if(required(value) > 0).alias("active_days"))
     return counted.where(F.col("active_days") >= min_days)
 
 

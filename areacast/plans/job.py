@@ -5,17 +5,18 @@
     spark-submit areacast/plans/job.py --tables /path/to/parquet --out ...
 
 C1 is written as ``<out>/monthly_avg_per_centre``, C2 as ``<out>/forecast_top5``
-(semicolon-separated, with the report headers); C3 is printed. Elapsed time
-per query is printed too.
+(semicolon-separated, with the report headers); C3 as
+``<out>/monthly_avg_per_centre_sql``, of which the first rows are also printed.
+Elapsed time per query is printed too.
 """
 
 from __future__ import annotations
 
 import argparse
-import datetime as dt
 import os
 import sys
 import time
+from functools import reduce
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -30,7 +31,7 @@ from areacast.operators.export import (  # noqa: E402
     monthly_lines,
     top5_lines,
 )
-from areacast.operators.filters import within  # noqa: E402
+from areacast.operators.filters import as_date  # noqa: E402
 from areacast.plans import registry  # noqa: E402
 from areacast.plans.queries import (  # noqa: E402
     forecast_top5,
@@ -44,6 +45,7 @@ from areacast.sources import (  # noqa: E402
     read_centres,
     read_daily_detail,
     read_daily_summary,
+    write_csv,
     write_report,
 )
 
@@ -64,7 +66,7 @@ def parse_args(argv=None):
     p.add_argument("--c1-window", nargs=2, metavar=("LO", "HI"))
     p.add_argument("--c2-window", nargs=2, metavar=("LO", "HI"))
     p.add_argument("--c3-window", nargs=2, metavar=("LO", "HI"))
-    p.add_argument("--show", type=int, default=105, help="rows of C3 to print")
+    p.add_argument("--show", type=int, default=20, help="rows of C3 to preview")
     p.add_argument("--lazy-checks", action="store_true",
                    help="CSV inputs: parse a count only on rows inside the windows (faster; "
                         "by default every row is checked and any bad row raises)")
@@ -88,9 +90,9 @@ def shared_daily_totals(spark: SparkSession, tables_dir: str, windows) -> DataFr
     three queries instead of three times; what is kept is small (days x
     areas x bands). Each query still applies its own window.
     """
-    lo = min(dt.date.fromisoformat(str(w[0])) for w in windows)
-    hi = max(dt.date.fromisoformat(str(w[1])) for w in windows)
-    rows = within(daily_detail_from_tables(spark, tables_dir), "date", lo, hi, closed=True)
+    inside = reduce(lambda a, b: a | b, (F.col("date").between(F.lit(as_date(lo)), F.lit(as_date(hi)))
+                                         for lo, hi in windows))
+    rows = daily_detail_from_tables(spark, tables_dir).where(inside)
     shared_dir(spark)
     return daily_total(rows, ("date", "area", "age_band"), "doses").checkpoint(eager=True)
 
@@ -116,8 +118,8 @@ def run(spark: SparkSession, args) -> dict[str, float]:
                                    f"{out}/monthly_avg_per_centre", MONTHLY_HEADER),
         "C2": lambda: write_report(top5_lines(forecast_top5(detail, *w2)),
                                    f"{out}/forecast_top5", TOP5_HEADER),
-        "C3": lambda: monthly_avg_per_centre_sql(spark, centres, summary, *w3)
-                      .show(args.show, truncate=False),
+        "C3": lambda: write_csv(monthly_avg_per_centre_sql(spark, centres, summary, *w3),
+                                f"{out}/monthly_avg_per_centre_sql", sep=";"),
     }
     elapsed = {}
     for name, step in steps.items():
@@ -126,6 +128,10 @@ def run(spark: SparkSession, args) -> dict[str, float]:
         step()
         elapsed[name] = time.perf_counter() - t0
     spark.sparkContext.setJobDescription(None)
+    if args.show:
+        print(f"C3, first {args.show} rows of {out}/monthly_avg_per_centre_sql:")
+        (spark.read.option("sep", ";").option("header", True)
+         .csv(f"{out}/monthly_avg_per_centre_sql").show(args.show, truncate=False))
     return elapsed
 
 

@@ -8,8 +8,6 @@ the columns agree with the Spark results.
 
 from __future__ import annotations
 
-from areacast.functions.calendar import ITALIAN_MONTHS
-
 _BASE = """
 WITH centres AS (
   SELECT n.n_name AS area, s.s_name AS centre, s.s_suppkey AS suppkey
@@ -98,7 +96,9 @@ c1 AS (
 )
 """
 
-_IT_MONTHS = "['" + "', '".join(ITALIAN_MONTHS) + "']"
+# Fixed values, written out here so that they check the library's own list.
+_IT_MONTHS = """['Gennaio', 'Febbraio', 'Marzo', 'Aprile', 'Maggio', 'Giugno',
+ 'Luglio', 'Agosto', 'Settembre', 'Ottobre', 'Novembre', 'Dicembre']"""
 
 _ORACLE_TAIL = {
     "monthly_avg_per_centre": "SELECT * FROM c1 ORDER BY area, month",
@@ -159,7 +159,8 @@ SELECT month_start,
        CAST(month(month_start) - 1 AS INTEGER) AS month_index0,
        {_IT_MONTHS}[month(month_start)] AS month_it,
        strftime(month_start, '%b') AS month_abbr
-FROM (SELECT DISTINCT CAST(date_trunc('month', date) AS DATE) AS month_start FROM summary)""",
+FROM (SELECT DISTINCT CAST(date_trunc('month', date) AS DATE) AS month_start
+      FROM (SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem))""",
     "calendar_days": """
 SELECT date,
        CAST(date_trunc('month', date) AS DATE) AS month_start,
@@ -167,7 +168,7 @@ SELECT date,
        CAST(dayofmonth(date) AS INTEGER) AS day_of_month,
        CAST(dayofmonth(last_day(date)) + 1 AS INTEGER) AS forecast_x,
        CAST(date_trunc('month', date) + INTERVAL 1 MONTH AS DATE) AS next_month_start
-FROM (SELECT DISTINCT date FROM summary)""",
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem)""",
     "int_div_average": """
 SELECT m.area, m.month_start,
        CAST((m.total // c.n_centres) // dayofmonth(last_day(m.month_start)) AS BIGINT)
@@ -208,19 +209,21 @@ SELECT DISTINCT area, CAST(date_trunc('month', date) AS DATE) AS month_start FRO
 SELECT date, area, age_band, COUNT(*) AS n_rows FROM detail GROUP BY date, area, age_band""",
     "key_count": """
 SELECT COUNT(*) AS n_keys FROM (SELECT DISTINCT month_start, area, age_band FROM active)""",
-    "row_count": "SELECT COUNT(*) AS n_rows FROM detail",
+    "row_count": "SELECT COUNT(*) AS n_rows FROM lineitem",
     "sort_composite": "SELECT * FROM per_day ORDER BY date, area, age_band",
     "first_row": "SELECT * FROM summary ORDER BY date, area, total LIMIT 1",
     "limit_preview": "SELECT * FROM summary ORDER BY date, area, total LIMIT 10",
     "export_monthly_lines": f"""
 SELECT '(' || area || ',' || {_IT_MONTHS}[month] || ')' AS label,
-       CAST(avg_per_centre AS VARCHAR) AS value
+       CAST(avg_per_centre AS VARCHAR) AS value,
+       'Regione, Mese;Numero medio vaccinazioni' AS header
 FROM c1""",
     "export_top5_lines": """
 SELECT '(' || strftime(date, '%Y-%m-%d') || ',' || age_band || ')' AS label,
        '[' || array_to_string(list_transform(top, lambda x: '(' || CAST(x.forecast AS VARCHAR)
                                                   || ',' || x.area || ')'), ', ') || ']'
-         AS value
+         AS value,
+       'Data, Fascia Anagrafica;TOP 5 (Numero vaccinazioni previste, Regione)' AS header
 FROM c2""",
 }
 

@@ -140,10 +140,14 @@ def project_columns(spark, d):
     return _detail(spark, d).select("date", "area", "age_band", "doses")
 
 
+def _ship_dates(spark, d):
+    """The dates of the line items; no join is needed for them."""
+    return tables.table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("date"))
+
+
 def month_labels(spark, d):
     """Month names and numbers."""
-    months = agg.distinct_keys(
-        _summary(spark, d).select(cal.month_start("date").alias("month_start")), ["month_start"])
+    months = agg.distinct_keys(_ship_dates(spark, d).select(cal.month_start("date").alias("month_start")), ["month_start"])
     return months.select(
         "month_start",
         cal.month_name_upper("month_start").alias("month_upper"),
@@ -155,7 +159,7 @@ def month_labels(spark, d):
 
 def calendar_days(spark, d):
     """Day counts and forecast days."""
-    dates = agg.distinct_keys(_summary(spark, d), ["date"])
+    dates = agg.distinct_keys(_ship_dates(spark, d), ["date"])
     return dates.select(
         "date",
         cal.month_start("date").alias("month_start"),
@@ -266,7 +270,7 @@ def key_count(spark, d):
 
 def row_count(spark, d):
     """Row count."""
-    return agg.row_count(_detail(spark, d))
+    return agg.row_count(tables.table(spark, d, "lineitem"))
 
 
 # ---- ordering ------------------------------------------------------------------
@@ -289,13 +293,16 @@ def limit_preview(spark, d):
 # ---- sinks ---------------------------------------------------------------------
 
 def _read_report(spark, path):
-    return (spark.read.option("sep", ";").option("header", True).csv(path)
-                 .toDF("label", "value"))
+    """The report's lines, with its header."""
+    lines = spark.read.option("sep", ";").option("header", True).csv(path)
+    return lines.toDF("label", "value").withColumn("header", F.lit(";".join(lines.columns)))
 
 
 def export_monthly_lines(spark, d):
     """K1, K3: C1 report written (overwrite) and read back."""
     path = fresh_path(spark, "monthly-report")
+    earlier = agg.distinct_keys(_centres(spark, d), ["area", "centre"])
+    csv_files.write_report(earlier, path, ("to be", "replaced"))
     csv_files.write_report(export.monthly_lines(monthly_avg_per_centre(spark, d)), path,
                            export.MONTHLY_HEADER)
     return _read_report(spark, path)

@@ -1,11 +1,10 @@
-"""Column positions and types of the input files, and fixture schemas.
+"""Column positions and types of the input files.
 
 Only the positions the queries read are fixed; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
 # (position, name, type) of the used columns.
 CENTRES_FIELDS = ((0, "area", "string"), (1, "centre", "string"))
@@ -17,20 +16,3 @@ DAILY_DETAIL_FIELDS = (
     (3, "age_band", "string"),
     (5, "doses", "bigint"),
 )
-
-CENTRES = T.StructType([
-    T.StructField("area", T.StringType()),
-    T.StructField("centre", T.StringType()),
-])
-DAILY_SUMMARY = T.StructType([
-    T.StructField("date", T.DateType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("total", T.LongType()),
-])
-DAILY_DETAIL = T.StructType([
-    T.StructField("date", T.DateType()),
-    T.StructField("supplier", T.StringType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("age_band", T.StringType()),
-    T.StructField("doses", T.LongType()),
-])

@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.session import shared_dir
 from areacast.schemas import CENTRES_FIELDS, DAILY_DETAIL_FIELDS, DAILY_SUMMARY_FIELDS
 
 Field = tuple[int, str, str]
@@ -95,21 +94,14 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") ->
 
 
 def write_report(lines: DataFrame, path: str, header: Sequence[str],
-                 sep: str = ";", single_file_max_rows: int = 100_000) -> int:
+                 sep: str = ";", one_file: bool = False) -> None:
     """Write a two-column report (already sorted) under ``header``.
 
-    The sorted lines are computed once and cut from their lineage with a
-    reliable ``checkpoint()`` in the shared checkpoint folder (partitions and
-    their order are kept, and a lost executor does not recompute the query).
-    A report of at most ``single_file_max_rows`` rows is then written as one
-    file; a larger one keeps its sorted partitions as ordered part files, so
-    no task ever receives an unbounded report. Returns the row count.
+    The sorted partitions become ordered part files, each with the header;
+    their number does not depend on a row count. ``one_file`` asks for a single
+    file, written by one task in order: for reports known to be small.
     """
-    shared_dir(lines.sparkSession)
-    staged = lines.checkpoint(eager=True)
-    n = staged.count()
-    out = staged.toDF(*header)
-    if n <= single_file_max_rows:
+    out = lines.toDF(*header)
+    if one_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
-    return n

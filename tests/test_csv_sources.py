@@ -90,9 +90,8 @@ def test_monthly_report_bytes(spark, write_text, tmp_path):
     centres = read_centres(spark, write_text("a/c.csv", CENTRES_CSV))
     summary = read_daily_summary(spark, write_text("b/s.csv", SUMMARY_CSV))
     out = str(tmp_path / "report1")
-    n = write_report(monthly_lines(monthly_avg_per_centre(centres, summary, "2021-01-01",
-                                                          "2021-05-31")), out, MONTHLY_HEADER)
-    assert n == 3
+    write_report(monthly_lines(monthly_avg_per_centre(centres, summary, "2021-01-01",
+                                                      "2021-05-31")), out, MONTHLY_HEADER)
     assert _report_text(out) == ("Regione, Mese;Numero medio vaccinazioni\n"
                                  "(ABR,Gennaio);20\n(ABR,Aprile);0\n(BAS,Febbraio);3\n")
 
@@ -109,18 +108,20 @@ def test_top5_report_bytes_and_overwrite(spark, write_text, tmp_path):
         "(2021-04-01,20-29);[(62,ABR)]\n")
 
 
-def test_large_report_is_not_forced_into_one_task(spark, tmp_path):
+def test_report_layout_is_the_callers_choice(spark, tmp_path):
     lines = spark.range(0, 50, numPartitions=4).selectExpr(
         "cast(id as string) as label", "cast(id as string) as value").orderBy("label")
     out = str(tmp_path / "big")
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(key, "false")   # keep AQE from merging the tiny partitions itself
     try:
-        write_report(lines, out, ("a", "b"), single_file_max_rows=10)
+        write_report(lines, out, ("a", "b"))
+        write_report(lines, out + "-one", ("a", "b"), one_file=True)
     finally:
         spark.conf.set(key, "true")
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) > 1
+    assert len([f for f in os.listdir(out + "-one") if f.startswith("part-")]) == 1
 
 
 def test_bad_values_raise_with_ansi_off(spark, write_text):

@@ -1,0 +1,44 @@
+"""Null cells: rows are kept or refused, never lost."""
+
+import datetime as dt
+
+import pytest
+
+from areacast.operators import aggregates, filters, trend
+from areacast.plans import registry
+
+SF = "/root/testdata/sf0.001"
+ROWS = [(dt.date(2021, 2, d), area, band, 5) for d in (1, 2) for area, band in (("A", None), (None, "b"), ("A", "b"))]
+
+
+def _daily(spark, rows=ROWS):
+    return spark.createDataFrame(rows, "date date, area string, age_band string, doses bigint")
+
+
+def test_negated_contains_keeps_nulls(spark):
+    kept = filters.not_contains(_daily(spark), "area", "A").collect()
+    assert len(kept) == 2 and all(r.area is None for r in kept)
+
+
+def test_semi_join_agrees_with_the_folded_form(spark):
+    kept = trend.active_day_semi_join(_daily(spark))
+    assert kept.count() == len(ROWS) and kept.columns == ["date", "area", "age_band", "doses"]
+    assert trend.keep_active(trend.trend_moments(_daily(spark))).count() == 3
+
+
+@pytest.mark.parametrize("of", [trend.trend_moments, aggregates.daily_total, trend.active_keys,
+                                lambda d: aggregates.monthly_total(d, value="doses")])
+def test_a_null_count_raises(spark, of):
+    with pytest.raises(Exception, match="null in the count column doses"):
+        of(_daily(spark, [*ROWS, (dt.date(2021, 2, 3), "A", "b", None)])).collect()
+
+
+@pytest.mark.parametrize("name", ["month_labels", "calendar_days", "row_count"])
+def test_calendar_and_count_need_no_join(spark, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" not in plan
