@@ -132,7 +132,7 @@ def cell_weights(marked: DataFrame, targets: Targets | None = None, most: int =
     topic, n_tokens)."""
     cells = written(marked.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
     if cells.count() <= most:
-        return _raked_here(cells, targets or {})
+        return F.broadcast(_raked_here(cells, targets or {}))  # at most so many rows
     return _raked_apart(cells, targets or {}, rounds)
 
 
