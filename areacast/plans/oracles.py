@@ -145,10 +145,12 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, age_band
                   FROM c2_window GROUP BY 1, 2, 3)
             WHERE active_days >= 3))
 WHERE rank <= 3""",
-    "scan_csv_positional": "SELECT date, area, total FROM summary",
-    "scan_csv_header": "SELECT area, centre FROM centres",
+    "scan_csv_positional": """
+SELECT CAST(l_shipdate AS DATE) AS date, l_returnflag AS flag, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem""",
+    "scan_csv_header": "SELECT CAST(s_nationkey AS VARCHAR) AS area, s_name AS centre FROM supplier",
     "parse_typed_fields": """
-SELECT date, CAST(supplier AS VARCHAR) AS supplier, area, age_band, doses FROM detail""",
+SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey AS VARCHAR) AS supplier, l_linestatus AS area,
+       l_returnflag AS age_band, CAST(l_quantity AS BIGINT) AS doses FROM lineitem""",
     "row_to_line": """
 SELECT concat_ws(',', coalesce(area, 'null'), coalesce(centre, 'null'),
                  coalesce(CAST(suppkey AS VARCHAR), 'null')) AS line FROM centres""",

@@ -4,10 +4,8 @@
 the same result in plain SQL over the tables (for a differential check with
 another engine). Column names and types agree between the two.
 
-Inputs come from the tables (see ``areacast.sources.tables``); the CSV
-queries first write the table-derived rows as CSV into a fresh folder under
-the shared checkpoint folder and read them back, so their work grows with the
-tables too.
+Inputs come from the tables (see ``areacast.sources.tables``). The CSV queries
+read files that a fixture step derives from the tables, once for each session.
 """
 
 from __future__ import annotations
@@ -24,7 +22,7 @@ from areacast.operators import export, filters, joins, ranking, trend
 from areacast.plans import queries as q
 from areacast.session import fresh_path
 from areacast.sources import csv_files, tables
-from areacast.schemas import CENTRES_FIELDS, DAILY_DETAIL_FIELDS, DAILY_SUMMARY_FIELDS
+from areacast.schemas import CENTRES_FIELDS, DAILY_DETAIL_FIELDS
 
 # Campaign windows on the table data (1997 is a common year).
 C1_WINDOW = ("1997-01-01", "1997-05-31")   # open: both ends excluded
@@ -94,36 +92,68 @@ def forecast_top3_three_days(spark, d):
 
 # ---- sources ----------------------------------------------------------------
 
+_FIXTURES: dict[tuple[str, str, str], str] = {}
+
+
+def _files_at(spark, path):
+    """The file system and path of a folder, if it exists."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    return files, folder if files.exists(folder) else None
+
+
+def csv_fixture(spark, d, name, rows, header):
+    """Fixture step of the CSV queries: writes ``rows`` as CSV files once for each
+    session and folder, below the shared folder; `remove_csv_fixtures` ends them."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _FIXTURES or not _files_at(spark, _FIXTURES[key])[1]:
+        path = fresh_path(spark, f"{name}-csv")
+        csv_files.write_csv(rows, path, header=header)
+        _FIXTURES[key] = path
+    return _FIXTURES[key]
+
+
+def remove_csv_fixtures(spark):
+    """Removes this session's CSV fixtures; queries built on them cannot run again."""
+    for key in [k for k in _FIXTURES if k[0] == spark.sparkContext.applicationId]:
+        files, folder = _files_at(spark, _FIXTURES.pop(key))
+        if folder is not None:
+            files.delete(folder, True)
+
+
+def _line_fields(spark, d):
+    """Line items as text fields; no join is needed for them."""
+    return tables.table(spark, d, "lineitem").select(
+        F.to_date("l_shipdate").cast("string").alias("date"), F.col("l_suppkey").cast("string").alias("supplier"),
+        "l_linestatus", "l_returnflag", F.col("l_quantity").cast("bigint").cast("string").alias("quantity"))
+
+
 def scan_csv_positional(spark, d):
-    """Daily summary written without header, with a trailing unused
-    column, then read by position."""
-    path = fresh_path(spark, "daily-summary-csv")
-    rows = _summary(spark, d).select(F.col("date").cast("string"), "area",
-                                     F.col("total").cast("string"), F.lit("-"))
-    csv_files.write_csv(rows, path, header=False)
-    return csv_files.read_csv(spark, path, DAILY_SUMMARY_FIELDS, header=False)
+    """Dates, flags and quantities without header, with a trailing unused
+    column, read by position."""
+    rows = _line_fields(spark, d).select("date", "l_returnflag", "quantity", F.lit("-"))
+    path = csv_fixture(spark, d, "positional", rows, header=False)
+    fields = ((0, "date", "date"), (1, "flag", "string"), (2, "quantity", "bigint"))
+    return csv_files.read_csv(spark, path, fields, header=False)
 
 
 def scan_csv_header(spark, d):
-    """Centres written with a header line and an extra column, read
-    back with one header per file."""
-    path = fresh_path(spark, "centres-csv")
-    rows = tables.supplier_areas(spark, d).select(
-        "area", "centre", F.col("suppkey").cast("string").alias("code"))
-    csv_files.write_csv(rows, path, header=True)
+    """Suppliers with a header line in each file and an extra column."""
+    rows = tables.table(spark, d, "supplier").select(
+        F.col("s_nationkey").cast("string").alias("area"), F.col("s_name").alias("centre"),
+        F.col("s_suppkey").cast("string").alias("code"))
+    path = csv_fixture(spark, d, "headed", rows, header=True)
     return csv_files.read_csv(spark, path, CENTRES_FIELDS, header=True)
 
 
 def parse_typed_fields(spark, d):
-    """Daily detail written as text (six columns, column 4 a decoy)
-    and parsed strictly back into date / string / bigint."""
-    path = fresh_path(spark, "daily-detail-csv")
-    det = _detail(spark, d)
-    rows = det.select(F.col("date").cast("string").alias("date"),
-                      F.col("supplier").cast("string").alias("supplier"), "area", "age_band",
-                      (F.col("doses") * 2).cast("string").alias("other"),
-                      F.col("doses").cast("string").alias("doses"))
-    csv_files.write_csv(rows, path, header=True)
+    """Six columns of text (column 4 a decoy), strictly parsed into
+    date / string / bigint."""
+    rows = _line_fields(spark, d).select("date", "supplier", F.col("l_linestatus").alias("area"),
+                                         F.col("l_returnflag").alias("age_band"), F.lit("1.5x").alias("other"),
+                                         F.col("quantity").alias("doses"))
+    path = csv_fixture(spark, d, "typed", rows, header=True)
     return csv_files.read_csv(spark, path, DAILY_DETAIL_FIELDS, header=True)
 
 

@@ -1,11 +1,11 @@
 """Sources (CSV files, warehouse tables) and the CSV report sink."""
 
 from areacast.sources.csv_files import (
+    checked_field,
     read_centres,
     read_csv,
     read_daily_detail,
     read_daily_summary,
-    strict_cast,
     write_csv,
     write_report,
 )
@@ -18,7 +18,8 @@ from areacast.sources.tables import (
 )
 
 __all__ = [
+    "checked_field",
     "centres_from_tables", "daily_detail_from_tables", "daily_summary_from_tables",
     "read_centres", "read_csv", "read_daily_detail", "read_daily_summary",
-    "strict_cast", "supplier_areas", "table", "write_csv", "write_report",
+    "supplier_areas", "table", "write_csv", "write_report",
 ]

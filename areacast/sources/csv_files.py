@@ -9,38 +9,22 @@ are parsed (CSV column pruning).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from areacast.schemas import CENTRES_FIELDS, DAILY_DETAIL_FIELDS, DAILY_SUMMARY_FIELDS
 
 Field = tuple[int, str, str]
 
 
-def strict_cast(c: Column, dtype: str, field: str) -> Column:
-    """Parse text to ``date`` (ISO ``yyyy-MM-dd``, a real calendar day) or
-    ``bigint`` (optional sign and digits), or keep ``string``. A date or
-    integer field that is empty, missing from a short line, or does not parse
-    raises; a string field may be empty (null).
-
-    The shape is checked with a regular expression and the value with a
-    ``try_cast`` (an impossible day such as 2021-02-30 gives null); the error
-    branch of ``coalesce`` runs only when that result is null, so each field
-    is parsed once.
-    """
+def checked_field(c: Column, dtype: str, field: str) -> Column:
+    """A parsed field: null (a value that is empty, missing from a short line, or
+    not of its type) raises for dates and integers; a string may be null."""
     if dtype == "string":
         return c
-    if dtype == "date":
-        parsed = F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), c.try_cast("date"))
-    elif dtype in ("bigint", "int"):
-        parsed = F.when(c.rlike(r"^[+-]?[0-9]+\z"), c.try_cast(dtype))
-    else:
-        parsed = c.try_cast(dtype)
-    shown = F.coalesce(c, F.lit("<empty>"))
-    bad = F.raise_error(F.concat(F.lit(f"cannot parse {field} as {dtype}: "), shown))
-    return F.coalesce(parsed, bad)
+    return F.coalesce(c, F.raise_error(F.lit(f"cannot parse {field} as {dtype}")))
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field],
@@ -51,23 +35,33 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Fi
     skipped; a data line that happens to contain header text is kept. With
     ``header=False`` every line is data and columns are taken by position.
 
-    By default (``check_all=True``) a validity filter that parses every
-    checked field comes before any later filter, so any bad row raises, even
-    one a date window would drop. With ``check_all=False`` a field is checked
-    only when it is evaluated: filters are pushed below the parsing, so the
-    count of a row outside the date window is never parsed (faster on large
-    CSV input; the date itself is still checked on every row).
+    The scan parses each used field once, to its type: dates are ISO
+    ``yyyy-MM-dd`` and real calendar days, integers an optional sign and digits.
+    What does not parse is null there, and `checked_field` raises on it. Its
+    ``coalesce`` is no filter a scan can take, so a date window is not pushed into
+    the parser, where it would hide bad rows.
+
+    By default (``check_all=True``) any bad row raises, even one that a date
+    window would drop. With ``check_all=False`` a count raises only on rows the
+    query keeps; the date is still checked on every row.
     """
-    raw = (spark.read.option("header", header).option("sep", sep)
-                .option("mode", "PERMISSIVE").csv(path))
-    raw = raw.toDF(*[f"_c{i}" for i in range(len(raw.columns))])
+    reader = spark.read.option("header", header).option("sep", sep)
+    names = reader.csv(path).columns
+    types = {pos: dtype for pos, _, dtype in fields}
+    if max(types) >= len(names):
+        raise ValueError(f"{path}: no column {max(types)}, only {len(names)} columns")
+    schema = StructType()
+    for pos, name in enumerate(names):
+        schema.add(name, DataType.fromDDL(types.get(pos, "string")))
+    raw = (reader.schema(schema).option("mode", "PERMISSIVE").option("dateFormat", "yyyy-MM-dd")
+                 .option("enableDateTimeParsingFallback", False).csv(path)
+                 .toDF(*[f"_c{pos}" for pos in range(len(names))]))
+    checked = {name: checked_field(F.col(f"_c{pos}"), dtype, name) for pos, name, dtype in fields}
     if check_all:
-        checks = [strict_cast(F.col(f"_c{pos}"), dtype, name).isNotNull()
-                  for pos, name, dtype in fields if dtype != "string"]
-        if checks:
-            raw = raw.where(reduce(lambda a, b: a & b, checks))
-    return raw.select(*[strict_cast(F.col(f"_c{pos}"), dtype, name).alias(name)
-                        for pos, name, dtype in fields])
+        for _, name, dtype in fields:
+            if dtype != "string":
+                raw = raw.where(checked[name].isNotNull())
+    return raw.select(*[c.alias(name) for name, c in checked.items()])
 
 
 def read_centres(spark: SparkSession, path, header: bool = True,

@@ -183,3 +183,32 @@ def test_check_all_raises_on_a_bad_count_outside_the_window(spark, write_text):
     strict = within(read_daily_summary(spark, path), "date", "2021-01-01", "2021-01-31")
     with pytest.raises(PySparkException, match="cannot parse total"):
         strict.collect()
+
+
+@pytest.mark.parametrize("line", ["2021-1-05,ABR,5", "2021-01-05T00:00,ABR,5", "2021-02-30,ABR,5", " 2021-01-05,ABR,5",
+                                  "2021-01-05,ABR, 5", "2021-01-05,ABR,5.0", "2021-01-05,ABR,99999999999999999999",
+                                  "2021-01-05,ABR", "2021-01-05", '""'])
+def test_fields_that_are_not_of_their_type_raise(spark, write_text, line):
+    path = write_text("typed/s.csv", "date,area,total\n2021-01-04,ABR,5\n" + line + "\n")
+    with pytest.raises(PySparkException, match="cannot parse"):
+        read_daily_summary(spark, path).collect()
+
+
+def test_signs_and_lines_wider_than_the_header(spark, write_text):
+    path = write_text("wide/s.csv", "date,area,total\n2021-01-04,ABR,+5,x,y\n2021-01-05,ABR,-5,z\n")
+    rows = read_daily_summary(spark, path).orderBy("date").collect()
+    assert [(str(r.date), r.area, r.total) for r in rows] == [("2021-01-04", "ABR", 5), ("2021-01-05", "ABR", -5)]
+
+
+def test_a_position_beyond_the_file_is_an_error(spark, write_text):
+    with pytest.raises(ValueError, match="no column 2"):
+        read_daily_summary(spark, write_text("narrow/s.csv", "date,area\n2021-01-04,ABR\n"))
+
+
+def test_the_scan_parses_and_no_later_step_does(spark, write_text):
+    from areacast.operators.filters import within
+    df = within(read_daily_summary(spark, write_text("once/s.csv", SUMMARY_CSV)), "date", "2021-01-01", "2021-01-31")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "date:date" in plan.split("ReadSchema: ")[1] and "total:bigint" in plan
+    assert "cast(" not in plan.lower().replace("cast(raise_error", "") and "rlike" not in plan.lower()
+    assert "PushedFilters: []" in plan

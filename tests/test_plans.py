@@ -1,5 +1,7 @@
 """Physical plans: pushdown, pruning, no Python in the hot path, bounded top-k."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry
@@ -28,8 +30,7 @@ def lineitem_scan(spark, df):
     return [b for b in blocks if "Scan parquet" in b and "lineitem.parquet" in b][0]
 
 
-@pytest.mark.parametrize("name", [n for n in registry.QUERIES
-                                  if not n.startswith(("export_", "scan_csv", "parse_"))])
+@pytest.mark.parametrize("name", registry.QUERIES)
 def test_no_python_and_no_pair_join(spark, name):
     text = plan_text(registry.QUERIES[name](spark, SF))
     assert not any(node in text for node in PYTHON_NODES + PAIR_NODES), text
@@ -81,3 +82,13 @@ def test_shuffle_budget(spark, name, sf):
     max_hash, ranges = BUDGET[name]
     assert text.count("Exchange hashpartitioning") <= max_hash, text
     assert text.count("Exchange rangepartitioning") == ranges, text
+
+
+def test_csv_fixtures_are_written_once_and_removed(spark):
+    first = registry.parse_typed_fields(spark, SF)
+    second = registry.parse_typed_fields(spark, SF)
+    assert first.inputFiles() == second.inputFiles()
+    folder = os.path.dirname(first.inputFiles()[0].removeprefix("file://"))
+    assert os.path.isdir(folder)
+    registry.remove_csv_fixtures(spark)
+    assert not os.path.exists(folder)
