@@ -132,18 +132,20 @@ class BKForest:
 
 
 def _least_labels(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """The least label reachable over the edges a-b, by hooking and shortcuts.
-    ``label`` holds a place in the order of the items."""
+    """The least label reachable over the edges a-b and those that made
+    ``label``, by hooking roots and shortcuts. ``label`` holds a place in the
+    order of the items. Only roots are hooked, so an item never leaves those
+    that earlier edges linked it to."""
     label = label.copy()
     while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        for ends in (a, b, label[a], label[b]):
-            np.minimum.at(new, ends, low)
-        new = new[new]
-        if (new == label).all():
+        while (label[label] != label).any():
+            label = label[label]
+        one, other = label[a], label[b]
+        apart = one != other
+        if not apart.any():
             return label
-        label = new
+        a, b, one, other = a[apart], b[apart], one[apart], other[apart]
+        np.minimum.at(label, np.maximum(one, other), np.minimum(one, other))
 
 
 def _linked(keys, fps, ids, nodes, queries, radius) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -164,9 +166,6 @@ def _linked(keys, fps, ids, nodes, queries, radius) -> Iterator[tuple[np.ndarray
         q, p = forest.search(keys[part], fps[part], radius)
         label = _least_labels(len(known), number[part[q]], number[place[p]], label)
         start = stop
-    # Labels hook across the blocks, so a label's own label may be smaller.
-    while (label[label] != label).any():
-        label = label[label]
     moved = np.flatnonzero(label != np.arange(len(known)))
     if len(moved):
         yield known[moved], known[label[moved]]

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -78,6 +79,49 @@ def test_bk_forest_search_equals_all_pairs():
     assert set(zip(a.tolist(), b.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(near))))
 
 
+def test_links_of_earlier_blocks_are_kept():
+    label = np.arange(5)
+    for a, b in (([3, 4], [2, 2]), ([3, 4], [1, 0])):
+        label = simhash._least_labels(5, np.array(a), np.array(b), label)
+    assert label.tolist() == [0] * 5
+
+
+def _least(n, links):
+    label = list(range(n))
+    for _ in range(n):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+@pytest.mark.parametrize("pairs, held", [(1, 10**6), (7, 10**6), (1, 5), (50, 40)])
+def test_search_blocks_lose_no_link(monkeypatch, pairs, held):
+    # Chains of fingerprints three bits in three bands apart, which share only
+    # the fourth, under shuffled ids, in blocks and batches of a few rows.
+    monkeypatch.setattr(simhash, "_PAIRS", pairs)
+    monkeypatch.setattr(simhash, "_HELD", held)
+    r = np.random.default_rng(7)
+    for _ in range(10):
+        fps = r.integers(0, 2**64, 6, np.uint64)
+        for _ in range(60):
+            bits = (16 * r.choice(4, 3, replace=False) + r.integers(0, 16, 3)).astype(np.uint64)
+            fps = np.append(fps, r.choice(fps) ^ np.bitwise_or.reduce(np.uint64(1) << bits))
+        fps = r.permutation(np.unique(fps))
+        n = len(fps)
+        ids = np.tile(np.arange(n), 4)
+        band = np.concatenate([(fps >> np.uint64(16 * k)).astype(np.int64) % 65536 * 4 + k for k in range(4)])
+        # The nodes of a shard come first; every third fingerprint only asks, once more.
+        rows = np.stack([band, np.tile(fps, 4).view(np.int64), ids, np.ones(4 * n, np.int64)])
+        again = rows[:, ids % 3 == 0].copy()
+        again[3] = 2
+        rows = np.concatenate([rows, again], axis=1)
+        rows = rows[:, np.lexsort((rows[3], rows[0]))]
+        batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in rows[:, k : k + 9]], ["shard", "fp", "id", "role"]) for k in range(0, rows.shape[1], 9)]
+        found = [(int(a), int(b)) for out in simhash._search_shards(3)(iter(batches)) for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+        near = [(i, j) for i in range(n) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= 3]
+        assert _least(n, found) == _least(n, near)
+
+
 @pytest.mark.parametrize("shard", [3, 10_000])
 def test_split_shards_lose_no_link(spark, docs, shard):
     r = np.random.default_rng(4)
