@@ -1,10 +1,11 @@
 """Quality classifier: naive Bayes support vectors.
 
-A text is the set of its n-grams (binary indicators): lower-cased words, and
-one to three neighbouring word shapes, hashed into ``DIMENSIONS`` slots. Each
-indicator is scaled by the log-count ratio of its slot between the two classes,
-and a linear hinge-loss model is fitted on the scaled indicators by dual
-coordinate descent. Scoring is one Arrow pass over the documents.
+A text is the set of its n-grams (binary indicators): one to three neighbouring
+lower-cased words, and one to three neighbouring word shapes, hashed into
+``DIMENSIONS`` slots. Each indicator is scaled by the log-count ratio of its
+slot between the two classes, and a linear hinge-loss model is fitted on the
+scaled indicators by dual coordinate descent. Scoring is one Arrow pass over
+the documents.
 
 Defined cases: a null or empty text has only the bias indicator, so it gets the
 score of the bias. Labels other than 0 and 1 are not used. Repeated label rows
@@ -23,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areacast.llm.common import byte_texts, in_bucket
+from areacast.llm.common import byte_texts, in_bucket, written
 
-DIMENSIONS = 1 << 18
+DIMENSIONS = 1 << 20
 #: The classifier is fitted on at most so many labelled documents, the first
 #: by hash of their id.
 SAMPLE = 16_000
@@ -61,6 +62,12 @@ def _slots(values: np.ndarray, kind: int) -> np.ndarray:
     return (mixed >> np.uint64(40)).astype(np.uint32) % np.uint32(DIMENSIONS - 1) + np.uint32(1)
 
 
+def _chained(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the neighbouring pairs and triples of ``values``."""
+    pair = values[1:] * np.uint64(0xC2B2AE3D27D4EB4F) + values[:-1]
+    return pair, pair[1:] * np.uint64(0xC2B2AE3D27D4EB4F) + values[:-2]
+
+
 def indicators(text: bytes | None) -> np.ndarray:
     """The distinct slots of a text's n-grams, in order; slot 0 is the bias."""
     words = text.split() if text else []
@@ -72,9 +79,9 @@ def indicators(text: bytes | None) -> np.ndarray:
     same = np.zeros(n, np.uint64)
     same[1:] = both[1:] == both[:-1]
     shape = shape * np.uint64(2) + same
-    pair = shape[1:] * np.uint64(0xC2B2AE3D27D4EB4F) + shape[:-1]
-    triple = pair[1:] * np.uint64(0xC2B2AE3D27D4EB4F) + shape[:-2]
-    found = [np.zeros(1, np.uint32), _slots(both >> np.uint64(32), 1), _slots(shape, 2), _slots(pair, 3), _slots(triple, 4)]
+    word = both >> np.uint64(32)
+    kinds = (word, shape, *_chained(shape), *_chained(word))
+    found = [np.zeros(1, np.uint32), *(_slots(values, kind) for kind, values in enumerate(kinds, 1))]
     return np.unique(np.concatenate(found))
 
 
@@ -99,18 +106,19 @@ def hinge_fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 0.02, ep
     """Weights by slot. Log-count ratios of the indicators, then dual coordinate
     descent on the hinge loss; a class's cost is inverse to its share."""
     y = np.where(labels > 0, 1.0, -1.0)
-    counts = {s: np.bincount(np.concatenate([r for r, c in zip(rows, y) if c == s]), minlength=DIMENSIONS) + smoothing for s in (1.0, -1.0)}
+    counts = {s: np.full(DIMENSIONS, smoothing) for s in (1.0, -1.0)}
+    for r, c in zip(rows, y):
+        counts[c][r] += 1.0  # a row's slots are distinct
     ratio = np.log(counts[1.0] / counts[1.0].sum()) - np.log(counts[-1.0] / counts[-1.0].sum())
     ratio[0] = 1.0
-    scaled = [ratio[r] for r in rows]
-    norms = np.array([max(float(x @ x), 1e-12) for x in scaled])
+    norms = np.array([max(float(x @ x), 1e-12) for x in (ratio[r] for r in rows)])
     share = {s: max(float((y == s).mean()), 1e-9) for s in (1.0, -1.0)}
     bound = np.array([cost * 0.5 / share[s] for s in y])
     alpha, w = np.zeros(len(rows)), np.zeros(DIMENSIONS)
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            slots, x = rows[i], scaled[i]
+            slots, x = rows[i], ratio[rows[i]]
             gradient = y[i] * float(w[slots] @ x) - 1.0
             new = min(max(alpha[i] - gradient / norms[i], 0.0), bound[i])
             if new != alpha[i]:
@@ -130,15 +138,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Qua
         .orderBy(F.xxhash64("label_id"), "label_id", "label")
         .limit(sample)
     )
-    rows = (
+    found = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
         .select("label", "text")
         .mapInArrow(_indicator_rows, "label int, slots binary")
-        .collect()
     )
+    # The driver's JVM holds a part of the sample at a time.
+    rows = list(written(found, "quality-sample").toLocalIterator())
     # An order of the rows that does not depend on how they were read.
-    rows.sort(key=lambda r: (r.label, bytes(r.slots)))
+    rows.sort(key=lambda r: (r.label, r.slots))
     y = np.array([r.label for r in rows], int)
     if len(set(y.tolist())) < 2:
         bias = np.zeros(DIMENSIONS)

@@ -337,6 +337,19 @@ def test_quality(spark, docs, empty):
     assert quality.quality_scores(empty, labels).count() == 0
 
 
+def test_quality_learns_word_order(spark):
+    # The same words and shapes in each text; only their order tells.
+    r = np.random.default_rng(3)
+    pairs = ["red stone", "old house", "new river", "big field"]
+    rows = []
+    for i in range(400):
+        good = [pairs[k] for k in r.permutation(4)]
+        rows.append((i, " ".join(good if i % 2 else [" ".join(reversed(p.split())) for p in good]), i % 2))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    out = [x for x in quality.quality_scores(table, table).collect() if x.held_out]
+    assert np.mean([x.predicted == x.doc_id % 2 for x in out]) > 0.95
+
+
 def test_token_files(docs, empty, spark, tmp_path, monkeypatch):
     import public_tokenizers
     from tokenizers import Tokenizer
