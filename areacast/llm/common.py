@@ -48,6 +48,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_apart(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns of these names, in any case, renamed; and the
+    columns that select them under their own names again, in order."""
+    taken, renamed = {c.lower() for c in docs.columns}, {}
+    for c in docs.columns:
+        if c.lower() in names:
+            new = f"_own_{c}"
+            while new.lower() in taken:
+                new = f"_{new}"
+            taken.add(new.lower())
+            renamed[c] = new
+    return docs.withColumnsRenamed(renamed), [F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def byte_texts(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, None for null."""
     return column.cast(pa.binary()).to_pylist()

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from areacast.llm.common import byte_texts, pieces, written
+from areacast.llm.common import byte_texts, pieces, set_apart, written
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20
@@ -320,9 +320,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without its contaminated documents."""
+    docs, own = set_apart(docs, ("n_words", "spans", "items", "_row"))
     found = benchmark_hits(docs, benchmark)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    return found.where(~((hit > 0) & (20 * hit >= F.col("n_words")))).select(*docs.columns)
+    return found.where(~((hit > 0) & (20 * hit >= F.col("n_words")))).select(*own)
 
 
 def cut_spans(text: bytes | None, spans: list[tuple[int, int]]) -> bytes | None:

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areacast.llm.common import written
+from areacast.llm.common import set_apart, written
 
 TEMPER, ROUNDS, CLOSE, CELLS = 0.9, 200, 1e-10, 200_000
 DIMENSIONS = ("source", "lang", "topic")
@@ -161,4 +161,5 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 def sampled(docs: DataFrame, targets: Targets | None = None) -> DataFrame:
     """The documents kept, with the columns of ``docs``."""
-    return mix(docs, targets).where("kept").select(*docs.columns)
+    docs, own = set_apart(docs, ("topic", "n_tokens", "weight", "prob", "kept", "_source", "_lang", "_topic"))
+    return mix(docs, targets).where("kept").select(*own)

@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areacast.llm import decontaminate, mixing, quality, simhash, tokens
-from areacast.llm.common import importable, table, written
+from areacast.llm.common import importable, set_apart, table, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; learnt from the labels."""
     importable(spark)
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    docs, own = set_apart(docs, ("score", "predicted"))
     scored = quality.score_quality(docs, model)
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    return scored.where(F.col("predicted") == 1).select(*own)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

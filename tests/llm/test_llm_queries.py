@@ -6,6 +6,7 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from areacast.llm import mixing, quality, simhash
@@ -93,3 +94,14 @@ def test_pipeline_equals_its_operators(spark):
     assert got.sort_values("doc_id").start.is_monotonic_increasing
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.where("false"), DIR).columns == docs.columns, name
+
+
+def test_stages_return_the_documents_own_columns(spark):
+    docs = table(spark, DIR, "documents")
+    clash = ("score", "predicted", "n_words", "spans", "items", "topic", "n_tokens", "weight", "prob", "Kept", "_row", "_source")
+    docs = docs.select(*docs.columns, *(F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in clash))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DIR)
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in clash), name
