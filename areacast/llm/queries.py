@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import chat, decontaminate, langid, lm, mixing, neighbours, passages, quality, simhash, tokens
+from areacast.llm import chat, decontaminate, langid, lm, mixing, neighbours, passages, pii, quality, simhash, tokens
 from areacast.llm.common import table
 
 
@@ -48,18 +48,71 @@ def op10_substring_dedup(spark, sf_dir):
     return passages.repeat_removal(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark, sf_dir):
+    return pii.pii_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_multiprobe_neighbours, op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination,
-        op6_lm_scoring, op7_quality_classifier, op8_token_files, op9_target_mixing, op10_substring_dedup,
+        op6_lm_scoring, op7_quality_classifier, op8_token_files, op9_target_mixing, op10_substring_dedup, op11_pii,
     )
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 
+
+def _spans_sql() -> str:
+    """op11: text before and between the matches gives their places."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    kinds = (*pii.BASE, *pii.ADDED)
+    raw = " UNION ALL ".join(
+        f"SELECT r, {k} AS k, '{kind}' AS kind, t, regexp_split_to_array(t, {quoted(pii.PATTERNS[kind])}) AS parts, regexp_extract_all(t, {quoted(pii.PATTERNS[kind])}) AS hits FROM d"
+        for k, kind in enumerate(kinds)
+    )
+    some = lambda pattern: f"(regexp_matches(before, {quoted(pattern)}) OR regexp_matches(after, {quoted(pattern)}))"
+    near = " ".join(f"WHEN '{k}' THEN {some(pii.CONTEXT[k])}" for k in pii.ADDED)
+    own = " ".join(f"WHEN '{k}' THEN {pii.SCORES[k]}" for k in pii.ADDED)
+    lower = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    base = ", ".join(f"'{k}'" for k in pii.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+raw AS ({raw}),
+hit AS (SELECT r, k, kind, t, hits[i] AS hit,
+          list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s
+        FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM raw)),
+seen AS (SELECT r, k, kind, hit, CAST(s AS BIGINT) AS s, CAST(s + length(hit) AS BIGINT) AS e,
+           regexp_replace(hit, '[^0-9]', '', 'g') AS dg, replace(hit, ' ', '') AS z,
+           {lower(f"substr(t, greatest(CAST(s AS BIGINT) - {pii.REACH}, 0) + 1, least({pii.REACH}, CAST(s AS BIGINT)))")} AS before,
+           {lower(f"substr(t, CAST(s AS BIGINT) + length(hit) + 1, {pii.REACH})")} AS after
+         FROM hit),
+sure AS (SELECT *, CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN list_bool_and(list_transform(string_split(hit, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND coalesce(TRY_CAST(ltrim(x, '0') AS INTEGER), 0) <= 255))
+    WHEN 'card' THEN length(dg) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(dg) + 1), lambda i:
+        CASE WHEN i % 2 = 1 THEN ascii(substr(dg, length(dg) - i + 1, 1)) - 48
+             ELSE (2 * (ascii(substr(dg, length(dg) - i + 1, 1)) - 48)) // 10 + (2 * (ascii(substr(dg, length(dg) - i + 1, 1)) - 48)) % 10 END)) % 10 = 0
+    WHEN 'phone' THEN length(dg) BETWEEN 9 AND 15
+    WHEN 'iban' THEN length(z) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(substr(z, 5) || substr(z, 1, 4), ''), lambda c:
+        CASE WHEN c <= '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)), lambda a, c: (a * CASE WHEN c >= 10 THEN 100 ELSE 10 END + c) % 97) = 1
+    WHEN 'ssn' THEN substr(hit, 1, 3) NOT IN ('000', '666') AND substr(hit, 1, 1) <> '9' AND substr(hit, 5, 2) <> '00' AND substr(hit, 8, 4) <> '0000'
+    ELSE substr(hit, 1, 1) >= '2' END AS valid FROM seen),
+weighed AS (SELECT *, kind IN ({base}) OR
+    CASE kind {own} END + {pii.NEAR} * (CAST(CASE kind {near} END AS INTEGER) - CAST({some(pii.COUNTER)} AS INTEGER)) >= {pii.KEEP} AS good
+    FROM sure WHERE valid),
+kept AS (SELECT * FROM weighed WHERE good AND (kind IN ({base}, 'iban')
+    OR NOT EXISTS (SELECT 1 FROM weighed o WHERE o.r = weighed.r AND o.good AND o.kind IN ({base}, 'iban') AND o.s < weighed.e AND weighed.s < o.e)))
+SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in pii.BASE)},
+  sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (kind IN ({base})), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (kind IS NOT NULL), '') AS spans
+FROM d LEFT JOIN kept USING (r) GROUP BY r, doc_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_pii": _spans_sql(),
     "op5_benchmark_decontamination": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
