@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import chat, decontaminate, langid, lm, mixing, neighbours, passages, pii, quality, simhash, tokens
+from areacast.llm import chat, decontaminate, langid, lm, mixing, neighbours, passages, pii, quality, simhash, tokens, whitening
 from areacast.llm.common import table
 
 
@@ -52,11 +52,15 @@ def op11_pii(spark, sf_dir):
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_multiprobe_neighbours, op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination,
-        op6_lm_scoring, op7_quality_classifier, op8_token_files, op9_target_mixing, op10_substring_dedup, op11_pii,
+        op6_lm_scoring, op7_quality_classifier, op8_token_files, op9_target_mixing, op10_substring_dedup, op11_pii, op12_whitening,
     )
 }
 
