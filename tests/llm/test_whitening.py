@@ -79,7 +79,7 @@ def test_other_sizes_and_entries_beyond_a_long_take_no_part(spark):
 
 
 def test_wide_entries_stay_exact(spark):
-    check(spark, [(i, [float(2 ** (20 + i)), 0.5 * i, -float(2**22) * (i % 2)]) for i in range(6)])
+    check(spark, [(i, [float(2 ** (10 + i)), 800.5 * (i % 3), -float(2**14) * (i % 2)]) for i in range(6)])
     far = whitening.whiten(frame(spark, [(1, [2.0**40, 1.0]), (2, [0.0, 3.0]), (3, [1.0, 0.0])])).collect()
     assert {r.deviation for r in far if r.vec_id == 1} == {None}
 
