@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areacast.llm import chat, decontaminate, langid, lm, mixing, neighbours, passages, pii, quality, simhash, tokens, whitening
+from areacast.llm import chat, decontaminate, langid, lm, mixing, neighbours, passages, pii, quality, simhash, spelling, tokens, whitening
 from areacast.llm.common import table
 
 
@@ -56,11 +56,16 @@ def op12_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_multiprobe_neighbours, op2_simhash_near_dedup, op3_language_id, op4_chat_formatting, op5_benchmark_decontamination,
         op6_lm_scoring, op7_quality_classifier, op8_token_files, op9_target_mixing, op10_substring_dedup, op11_pii, op12_whitening,
+        op13_spelling_variants,
     )
 }
 
@@ -115,8 +120,30 @@ FROM d LEFT JOIN kept USING (r) GROUP BY r, doc_id
 """
 
 
+#: crc32 from its polynomial; near words by what is left without one place.
+_SPELLING_SQL = rf"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, w, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS w FROM documents) WHERE length(w) >= 7 GROUP BY ALL),
+hashed AS (SELECT w, c, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(hex(d || ':' || w)) // 2), lambda i: CAST('0x' || substr(hex(d || ':' || w), 2 * i + 1, 2) AS BIGINT))),
+    lambda a, b: xor(steps[(xor(a, b) & 255) + 1], a >> 8))) AS h FROM runs, crc),
+typed AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM hashed),
+v AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+less AS MATERIALIZED (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT less.word, v.word FROM less JOIN v ON less.rest = v.word
+  UNION SELECT v.word, less.word FROM less JOIN v ON less.rest = v.word),
+best AS (SELECT near.word, count(*) AS n_near, max(o.n) AS best_n, arg_min(o.word, (-o.n, o.word)) AS best FROM near JOIN v o ON o.word = near.other GROUP BY near.word),
+forms AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * v.n THEN best END AS form, CASE WHEN best_n >= 10 * v.n THEN best_n END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at FROM forms UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, chain.at AS root, forms.n, forms.n_near, forms.form_n FROM forms JOIN chain USING (word) JOIN forms ends ON ends.word = chain.at WHERE ends.form IS NULL
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op11_pii": _spans_sql(),
+    "op13_spelling_variants": _SPELLING_SQL,
     "op5_benchmark_decontamination": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

@@ -1,0 +1,156 @@
+"""Spelling variants against all pairs, the plain rule of typing errors, and
+DuckDB on hand-made texts."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+
+from areacast.llm import spelling
+from areacast.llm.common import importable
+from areacast.llm.queries import ORACLE_SQL
+
+LONG = "longword" * 400  # one word of 3,200 letters
+
+
+def are_near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_near(counts):
+    out = {}
+    for w in counts:
+        near = [x for x in counts if are_near(w, x)]
+        if near:
+            out[w] = (len(near), *min((-counts[x], x) for x in near))
+    return out
+
+
+def vocabulary(r, letters, roots=10):
+    words = ["".join(r.choices(letters, k=r.choice([7, 8, 9, 10, 11, 12, 13, 16, 22]))) for _ in range(roots)]
+    for w in list(words):
+        for _ in range(r.randint(0, 6)):
+            i, kind = r.randrange(len(w)), r.randint(0, 2)
+            v = w[:i] + (r.choice(letters) if kind else "") + (w[i + 1 :] if kind < 2 else w[i:])
+            words += [v] * (len(v) >= 7)
+    return {w: r.randint(2, 6) for w in words}
+
+
+def rows_of(counts):
+    starts = spelling.class_starts(1 << 14)
+    for w, n in counts.items():
+        for s in {max(s for s in starts if s <= m) for m in (len(w), max(len(w) - 1, 7))}:
+            yield from ((w.encode("latin-1"), n, 3, e, s) for e in (False, True))
+
+
+def test_search_schemes_equal_all_pairs():
+    r = random.Random(13)
+    for trial in range(150):
+        counts = vocabulary(r, r.choice(["a", "ab", "abcé", "abcdefghÀÿ"]), r.randint(1, 12))
+        rows = list(rows_of(counts))
+        r.shuffle(rows)
+        words, n, near = [x[0] for x in rows], *(np.array([x[k] for x in rows]) for k in (1, 2))
+        found = zip(*spelling.near_in_shard(words, n, near, np.array([x[3] for x in rows]), np.array([x[4] for x in rows])))
+        got = {}
+        for w, k, m, b in found:
+            own = got.get(w.decode("latin-1"), (0, 0, ""))
+            best = (-int(m), b.decode("latin-1"))
+            got[w.decode("latin-1")] = (own[0] + int(k), *min(best, own[1:] if own[0] else best))
+        assert got == plain_near(counts), trial
+
+
+def test_states_stay_in_step():
+    r = random.Random(5)
+    words = sorted({"".join(r.choices("abc", k=r.randint(1, 9))) for _ in range(200)})
+    index = spelling.BidirectionalIndex([w.encode() for w in words])
+    bounded = ["^" + w + "^" for w in words]
+    for _ in range(300):
+        w = r.choice(bounded)
+        i = r.randint(1, len(w) - 2)
+        pattern, state = "", index.start(1)
+        left, right = i - 1, i
+        while left >= 0 or right < len(w):
+            side = index.LEFT if right >= len(w) or (left >= 0 and r.random() < 0.5) else index.RIGHT
+            letter = w[left] if side == index.LEFT else w[right]
+            pattern = letter + pattern if side == index.LEFT else pattern + letter
+            left, right = left - (side == index.LEFT), right + (side == index.RIGHT)
+            symbol = index.last if letter == "^" else index.table[ord(letter)]
+            state = index.extend(state, np.array([symbol]), side)
+            many = sum(t.startswith(pattern, k) for t in bounded for k in range(len(t)))
+            assert state[2][0] == many or pattern == "^"
+        assert index.words[index.word(state)[0]].decode() == w[1:-1]
+
+
+@pytest.mark.parametrize("sizes", [(10**6, 10**6), (300, 10**6), (300, 150), (100, 40)])
+def test_shards_and_crowded_groups(spark, sizes):
+    importable(spark)
+    counts = vocabulary(random.Random(7), "abcdé", 60) | {f"hotstart{a}{b}{c}": 3 for a in "abc" for b in "abcd" for c in "ab"}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r.word: (r.n_near, -r.best_n, r.best) for r in spelling.near_words(words, *sizes).collect()}
+    assert got == plain_near(counts)
+
+
+def plain_words(docs):
+    total = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            total[run] += 1
+    return {w: n for w, n in total.items() if len(w) >= 7 and n >= 2}
+
+
+def corpus():
+    r = random.Random(2)
+    base = ["straße", "Österreich", "grammatical", "programming", "Ärgerlich", "coöperation", "elephant", "triangle", "naïveté", "çédille"]
+    docs = [(i, " ".join(r.choices(base, k=60)) + r.choice([" eléphant", " triangel", " grammaticall", " programing-", "_PROGRAMMINGS "])) for i in range(60)]
+    docs += [(i, " ".join(base).upper() + "Ÿ 日本語elephant😀triangle ×÷") for i in (60, 61)]
+    docs += [(70, None), (71, ""), (72, " 12 "), (None, "elephant elephants"), (None, "elephant elephants"), (73, f"{LONG} {LONG} {LONG[1:]} {LONG[1:]} {LONG}x {LONG}x"), (74, f"{LONG}x")]
+    return docs + docs[:5]
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(i, t, "w", 1, "f") for i, t in docs], "doc_id long, text string, word string, n long, form string")
+
+
+def test_variants_equal_the_plain_rule(spark):
+    docs = corpus()
+    counts = plain_words(docs)
+    near = plain_near(counts)
+    want = {}
+    for w, n in counts.items():
+        k, m, best = near.get(w, (0, 0, None))
+        want[w] = (best, -m) if -m >= 10 * n else (None, None)
+    ends = {}
+    for w in counts:
+        end = w
+        while want[end][0]:
+            end = want[end][0]
+        ends[w] = end
+    got = spelling.spelling_variants(frame(spark, docs))
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    rows = got.collect()
+    assert {r.word: tuple(r) for r in rows} == {w: (w, want[w][0], ends[w], n, near.get(w, (0,))[0], want[w][1]) for w, n in counts.items()}
+    assert len(rows) == len(counts) and any(r.form for r in rows) and any(len(r.word) > 3000 and r.n_near for r in rows)
+    db = duckdb.connect()
+    db.register("documents", frame(spark, [d for d in docs if d[0] not in (73, 74)]).toArrow())
+    short = spelling.spelling_variants(frame(spark, [d for d in docs if d[0] not in (73, 74)])).collect()
+    assert sorted(map(str, db.sql(ORACLE_SQL["op13_spelling_variants"]).fetchall())) == sorted(str(tuple(r)) for r in short)
+
+
+def test_chains_and_empty_tables(spark):
+    words = [("abcdefgh", 1000), ("abcdefgx", 100), ("abcdefxx", 10), ("abcdexxx", 1), ("zzzzzzzz", 5)]
+    got = {r.word: (r.form, r.root) for r in spelling.spelling_groups(spark.createDataFrame(words, "word string, n long")).collect()}
+    assert got == {"abcdefgh": (None, "abcdefgh"), "abcdefgx": ("abcdefgh",) * 2, "abcdefxx": ("abcdefgx", "abcdefgh"), "abcdexxx": ("abcdefxx", "abcdefgh"), "zzzzzzzz": (None, "zzzzzzzz")}
+    assert spelling.spelling_variants(frame(spark, corpus()).where("false")).collect() == []
