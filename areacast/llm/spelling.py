@@ -112,9 +112,10 @@ def class_starts(longest: int = 1 << 31) -> list[int]:
 
 
 def class_start(length: Column) -> Column:
-    chosen = F.lit(LEAST_LENGTH)
-    for start in class_starts()[1:-1]:
-        chosen = F.when(length >= start, F.lit(start)).otherwise(chosen)
+    *starts, last = class_starts()
+    chosen = F
+    for start, above in zip(starts, [*starts[1:], last]):  # most words are short
+        chosen = chosen.when(length < above, F.lit(start))
     return chosen
 
 
@@ -378,7 +379,9 @@ def near_words(words: DataFrame, shard_chars: int = SHARD_CHARS, crowded: int =
         F.array(F.struct(F.lit(1).alias("role"), tile("own", "other").alias("shard")), F.struct(F.lit(2).alias("role"), tile("other", "own").alias("shard")))
     )
     split = part.select("word", "n", "start", "by_end", F.explode(roles).alias("r")).select("word", "n", "start", "by_end", "r.role", "r.shard")
-    found = usual.unionByName(split).groupBy("shard").applyInArrow(_search, "word string, n_near long, best_n long, best string")
+    # Parts are few rows and much work: a number of them that is not coalesced.
+    tiles = large.agg(F.sum(F.col("parts") * F.col("parts"))).first()[0] or 0
+    found = usual.unionByName(split).repartition(shards + tiles, "shard").groupBy("shard").applyInArrow(_search, "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("minus"), F.col("best").alias("best"))).alias("b")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select("word", "n_near", (-F.col("b.minus")).alias("best_n"), F.col("b.best").alias("best"))
 
