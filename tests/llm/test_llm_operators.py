@@ -392,19 +392,6 @@ def test_coder_round_trips():
         coder.encode(np.array([5]), 5)
 
 
-def test_mixing(docs, empty):
-    here = mixing.mix(docs, {"source": {"s0": 0.8, "s1": 0.2, "absent": 3.0}})
-    apart = mixing.mix(docs, {"source": {"s0": 0.8, "s1": 0.2, "absent": 3.0}}, most=0)
-    assert here.columns == [*docs.columns, "topic", "n_tokens", "weight", "prob", "kept"]
-    a, b = (sorted(((r.doc_id is not None, r.doc_id, r.text or "", r.weight, r.prob) for r in d.collect()), key=str) for d in (here, apart))
-    assert len(a) == len(TEXTS) and [x[:3] for x in a] == [x[:3] for x in b]
-    assert np.allclose([x[3] for x in a], [x[3] for x in b], rtol=1e-6) and all(0 <= x[4] <= 1 for x in a)
-    share = {r.source: r.w for r in here.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("weight")).alias("w")).collect()}
-    assert abs(share["s0"] / sum(share.values()) - 0.8) < 1e-6
-    assert mixing.mixture(empty).count() == 0
-    assert set(r.doc_id for r in mixing.sampled(docs).collect()) <= {i for i, _ in TEXTS}
-
-
 def test_raking_reaches_the_margins():
     r = np.random.default_rng(0)
     seed, a, b = r.uniform(1, 2, 60), np.arange(60) % 5, np.arange(60) // 5

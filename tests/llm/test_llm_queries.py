@@ -26,7 +26,7 @@ def test_oracle(spark, name):
     want = db.sql(ORACLE_SQL[name]).df()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
-    order = lambda x: x[columns].sort_values(columns).reset_index(drop=True)
+    order = lambda x: x[columns].sort_values(columns).astype(object).where(x.notna(), None).reset_index(drop=True)
     assert order(got).equals(order(want))
 
 
