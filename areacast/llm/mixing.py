@@ -98,7 +98,7 @@ def rake(seed: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray],
     seed = seed.astype(np.float64)
     most = seed * copies if np.isfinite(copies) else np.full(len(seed), np.finfo(float).max)
     factors = [np.ones(len(t)) for t in targets]
-    whole = min(float(targets[0].sum()), float(most.sum()))
+    whole = min(float(targets[0].sum()), copies * float(seed.sum()))
     value = lambda: np.prod([f[at] for f, at in zip(factors, places)], axis=0) * seed
     for _ in range(rounds):
         apart = 0.0
