@@ -18,8 +18,10 @@ from areacast.functions.calendar import days_in_month
 
 def join_centres(totals: DataFrame, counts: DataFrame, key: str = "area") -> DataFrame:
     """Inner equi-join of per-(area, month) totals with per-area centre counts.
-    Areas without centres, and centres without totals, drop out."""
-    return totals.join(counts, on=key, how="inner")
+    Areas without centres, and centres without totals, drop out. Keys compare
+    null-safe, as groups do: a null area has the centres without an area."""
+    named = counts.withColumnRenamed(key, f"_{key}")
+    return totals.join(named, totals[key].eqNullSafe(named[f"_{key}"]), "inner").drop(f"_{key}")
 
 
 def per_centre_average(totals: DataFrame, counts: DataFrame, key: str = "area",

@@ -4,8 +4,8 @@
 the same result in plain SQL over the tables (for a differential check with
 another engine). Column names and types agree between the two.
 
-Inputs come from the tables (see ``areacast.sources.tables``). The CSV queries
-read files that a fixture step derives from the tables, once for each session.
+Inputs come from the tables (see ``areacast.sources.tables``). The two CSV scans
+read files that a fixture step derives from a table, once for each state of it.
 """
 
 from __future__ import annotations
@@ -92,39 +92,59 @@ def forecast_top3_three_days(spark, d):
 
 # ---- sources ----------------------------------------------------------------
 
-_FIXTURES: dict[tuple[str, str, str], str] = {}
+_FIXTURES: dict[tuple[str, str, str], tuple[list, str]] = {}
 
 
-def _files_at(spark, path):
-    """The file system and path of a folder, if it exists."""
+def _folder(spark, path):
+    """The file system and Hadoop path of a file or folder."""
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
-    return files, folder if files.exists(folder) else None
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
 
 
-def csv_fixture(spark, d, name, rows, header):
-    """Fixture step of the CSV queries: writes ``rows`` as CSV files once for each
-    session and folder, below the shared folder; `remove_csv_fixtures` ends them."""
+def _versions(spark, table):
+    """Name, length and modification time of each file of a table."""
+    out = []
+    for name in sorted(table.inputFiles()):
+        files, path = _folder(spark, name)
+        status = files.getFileStatus(path)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return out
+
+
+def _remove(spark, path):
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def csv_fixture(spark, d, name, table, rows, header):
+    """Fixture step of the CSV queries: writes ``rows``, derived from ``table``, as
+    CSV files below the shared folder; `remove_csv_fixtures` ends them. They
+    stand for one state of the table's files: if any was rewritten, added or
+    removed since, they are written anew and the old ones removed."""
     key = (spark.sparkContext.applicationId, d, name)
-    if key not in _FIXTURES or not _files_at(spark, _FIXTURES[key])[1]:
-        path = fresh_path(spark, f"{name}-csv")
-        csv_files.write_csv(rows, path, header=header)
-        _FIXTURES[key] = path
-    return _FIXTURES[key]
+    versions = _versions(spark, table)
+    found, path = _FIXTURES.get(key, (None, None))
+    if path is not None:
+        files, folder = _folder(spark, path)
+        if found == versions and files.exists(folder):
+            return path
+        _remove(spark, path)
+    path = fresh_path(spark, f"{name}-csv")
+    csv_files.write_csv(rows, path, header=header)
+    _FIXTURES[key] = (versions, path)
+    return path
 
 
 def remove_csv_fixtures(spark):
     """Removes this session's CSV fixtures; queries built on them cannot run again."""
     for key in [k for k in _FIXTURES if k[0] == spark.sparkContext.applicationId]:
-        files, folder = _files_at(spark, _FIXTURES.pop(key))
-        if folder is not None:
-            files.delete(folder, True)
+        _remove(spark, _FIXTURES.pop(key)[1])
 
 
-def _line_fields(spark, d):
+def _line_fields(lines):
     """Line items as text fields; no join is needed for them."""
-    return tables.table(spark, d, "lineitem").select(
+    return lines.select(
         F.to_date("l_shipdate").cast("string").alias("date"), F.col("l_suppkey").cast("string").alias("supplier"),
         "l_linestatus", "l_returnflag", F.col("l_quantity").cast("bigint").cast("string").alias("quantity"))
 
@@ -132,29 +152,31 @@ def _line_fields(spark, d):
 def scan_csv_positional(spark, d):
     """Dates, flags and quantities without header, with a trailing unused
     column, read by position."""
-    rows = _line_fields(spark, d).select("date", "l_returnflag", "quantity", F.lit("-"))
-    path = csv_fixture(spark, d, "positional", rows, header=False)
+    lines = tables.table(spark, d, "lineitem")
+    rows = _line_fields(lines).select("date", "l_returnflag", "quantity", F.lit("-"))
+    path = csv_fixture(spark, d, "positional", lines, rows, header=False)
     fields = ((0, "date", "date"), (1, "flag", "string"), (2, "quantity", "bigint"))
     return csv_files.read_csv(spark, path, fields, header=False)
 
 
 def scan_csv_header(spark, d):
     """Suppliers with a header line in each file and an extra column."""
-    rows = tables.table(spark, d, "supplier").select(
+    suppliers = tables.table(spark, d, "supplier")
+    rows = suppliers.select(
         F.col("s_nationkey").cast("string").alias("area"), F.col("s_name").alias("centre"),
         F.col("s_suppkey").cast("string").alias("code"))
-    path = csv_fixture(spark, d, "headed", rows, header=True)
+    path = csv_fixture(spark, d, "headed", suppliers, rows, header=True)
     return csv_files.read_csv(spark, path, CENTRES_FIELDS, header=True)
 
 
 def parse_typed_fields(spark, d):
-    """Six columns of text (column 4 a decoy), strictly parsed into
-    date / string / bigint."""
-    rows = _line_fields(spark, d).select("date", "supplier", F.col("l_linestatus").alias("area"),
-                                         F.col("l_returnflag").alias("age_band"), F.lit("1.5x").alias("other"),
-                                         F.col("quantity").alias("doses"))
-    path = csv_fixture(spark, d, "typed", rows, header=True)
-    return csv_files.read_csv(spark, path, DAILY_DETAIL_FIELDS, header=True)
+    """Lines of six text fields (the fifth a decoy), strictly parsed into
+    date / string / bigint. The lines are made in the query; no file is written."""
+    fields = _line_fields(tables.table(spark, d, "lineitem"))
+    lines = fields.select(F.to_csv(F.struct(
+        "date", "supplier", F.col("l_linestatus").alias("area"), F.col("l_returnflag").alias("age_band"),
+        F.lit("1.5x").alias("other"), F.col("quantity").alias("doses"))).alias("line"))
+    return csv_files.parse_lines(lines, "line", DAILY_DETAIL_FIELDS)
 
 
 def row_to_line_query(spark, d):

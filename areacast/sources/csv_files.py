@@ -53,9 +53,16 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Fi
     schema = StructType()
     for pos, name in enumerate(names):
         schema.add(name, DataType.fromDDL(types.get(pos, "string")))
-    raw = (reader.schema(schema).option("mode", "PERMISSIVE").option("dateFormat", "yyyy-MM-dd")
-                 .option("enableDateTimeParsingFallback", False).csv(path)
-                 .toDF(*[f"_c{pos}" for pos in range(len(names))]))
+    raw = reader.schema(schema).options(**STRICT).csv(path).toDF(*[f"_c{pos}" for pos in range(len(names))])
+    return _checked(raw, fields, check_all)
+
+
+#: A field that is not of its type is null in the parser's result.
+STRICT = {"mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd", "enableDateTimeParsingFallback": "false"}
+
+
+def _checked(raw: DataFrame, fields: Sequence[Field], check_all: bool) -> DataFrame:
+    """The fields of raw columns ``_c0``, ``_c1``, ..., checked."""
     checked = {name: checked_field(F.col(f"_c{pos}"), dtype, name) for pos, name, dtype in fields}
     if check_all:
         for _, name, dtype in fields:
@@ -64,6 +71,16 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[Fi
     return raw.select(*[c.alias(name) for name, c in checked.items()])
 
 
+def parse_lines(lines: DataFrame, line: str, fields: Sequence[Field], sep: str = ",",
+                check_all: bool = True) -> DataFrame:
+    """The ``fields`` (position, name, type) of a column of CSV lines, parsed once,
+    by the rules of `read_csv`; a line too short for a field has it empty."""
+    types = {pos: dtype for pos, _, dtype in fields}
+    schema = ", ".join(f"_c{pos} {types.get(pos, 'string')}" for pos in range(max(types) + 1))
+    parsed = lines.select(F.from_csv(F.col(line), schema, {**STRICT, "sep": sep}).alias("fields"))
+    return _checked(parsed.select(F.col("fields.*")), fields, check_all)
+
+
 def read_centres(spark: SparkSession, path, header: bool = True,
                  check_all: bool = True) -> DataFrame:
     """(area, centre): one row per vaccination centre."""

@@ -19,6 +19,7 @@ def test_bench_prints_one_json_line():
     assert rec["unit"] == "sec" and rec["sf"] == 0.001
     assert set(rec["queries"]) == {"monthly_avg_per_centre", "forecast_top5",
                                    "monthly_avg_per_centre_sql"}
+    assert set(rec["build"]) == set(rec["run"]) == set(rec["queries"])
     assert abs(rec["value"] - sum(rec["queries"].values())) < 1e-3
 
 

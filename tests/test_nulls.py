@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from areacast.operators import aggregates, filters, trend
+from areacast.plans import queries as q
 from areacast.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +43,11 @@ def test_calendar_and_count_need_no_join(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Join" not in plan
+
+
+def test_a_null_area_joins_the_centres_without_an_area(spark):
+    day = dt.date(2021, 2, 1)
+    centres = spark.createDataFrame([("A", "x"), (None, "y"), (None, "z"), ("B", "w")], "area string, centre string")
+    daily = spark.createDataFrame([(day, "A", 56), (day, None, 112), (day, "C", 5)], "date date, area string, total bigint")
+    averages = q.monthly_avg_per_centre(centres, daily, "2021-01-01", "2021-03-01")
+    assert [tuple(r) for r in averages.collect()] == [(None, 2, 2), ("A", 2, 2)]

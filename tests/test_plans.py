@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from areacast.plans import registry
+from areacast.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
@@ -64,8 +65,8 @@ def test_c1_join_is_broadcast_after_aggregation(spark):
                      final=True)
     assert "isFinalPlan=true" in text
     final, initial = text.split("== Initial Plan ==")
-    assert "SortMergeJoin [area" in initial
-    assert "SortMergeJoin" not in final and "BroadcastHashJoin [area" in final
+    assert "SortMergeJoin [coalesce(area" in initial  # null-safe keys
+    assert "SortMergeJoin" not in final and "BroadcastHashJoin [coalesce(area" in final
 
 
 # Shuffle budget per headline query (upper bounds on the initial plan):
@@ -85,10 +86,34 @@ def test_shuffle_budget(spark, name, sf):
 
 
 def test_csv_fixtures_are_written_once_and_removed(spark):
-    first = registry.parse_typed_fields(spark, SF)
-    second = registry.parse_typed_fields(spark, SF)
+    first = registry.scan_csv_header(spark, SF)
+    second = registry.scan_csv_header(spark, SF)
     assert first.inputFiles() == second.inputFiles()
     folder = os.path.dirname(first.inputFiles()[0].removeprefix("file://"))
     assert os.path.isdir(folder)
     registry.remove_csv_fixtures(spark)
     assert not os.path.exists(folder)
+
+
+def test_csv_queries_see_a_rewritten_table(spark, tmp_path):
+    """The same session, folder and file name, other rows."""
+    d, lines, suppliers = str(tmp_path), f"{tmp_path}/lineitem.parquet", f"{tmp_path}/supplier.parquet"
+    folders = []
+    for n in (20, 3, 7):
+        spark.read.parquet(f"{SF}/lineitem.parquet").limit(n).toPandas().to_parquet(lines)
+        spark.read.parquet(f"{SF}/supplier.parquet").orderBy("s_suppkey").limit(n).toPandas().to_parquet(suppliers)
+        expected = min(n, 10)
+        assert registry.scan_csv_positional(spark, d).count() == n
+        assert registry.parse_typed_fields(spark, d).count() == n
+        headed = registry.scan_csv_header(spark, d)
+        assert headed.count() == expected
+        folders.append(os.path.dirname(headed.inputFiles()[0].removeprefix("file://")))
+    assert [os.path.isdir(f) for f in folders] == [False, False, True]
+    registry.remove_csv_fixtures(spark)
+    assert not os.path.isdir(folders[-1])
+
+
+def test_parse_typed_fields_writes_nothing(spark):
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    assert "Scan csv" not in plan_text(registry.parse_typed_fields(spark, SF))
+    assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before
