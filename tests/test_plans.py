@@ -101,7 +101,7 @@ def test_csv_queries_see_a_rewritten_table(spark, tmp_path):
     d, lines, suppliers = str(tmp_path), f"{tmp_path}/lineitem.parquet", f"{tmp_path}/supplier.parquet"
     folders = []
     for n in (20, 3, 7):
-        spark.read.parquet(f"{SF}/lineitem.parquet").limit(n).toPandas().to_parquet(lines)
+        spark.read.parquet(f"{SF}/lineitem.parquet").limit(n).toPandas().to_parquet(lines, coerce_timestamps="us")
         spark.read.parquet(f"{SF}/supplier.parquet").orderBy("s_suppkey").limit(n).toPandas().to_parquet(suppliers)
         expected = min(n, 10)
         assert registry.scan_csv_positional(spark, d).count() == n
