@@ -10,16 +10,25 @@ ANCHOR - 1 <= WINDOW, two equal windows share an anchor at aligned places. So
 1. each chunk of documents sends its distinct anchors to hash buckets;
 2. a bucket tells each chunk which of its anchors another document has too;
 3. a chunk extends its shared anchors to the windows around them and sends
-   these windows' 128-bit hashes with its least document id for each;
+   these windows' hashes with its least document id for each, and to itself
+   the places of these windows;
 4. a bucket tells a chunk which of its windows start in a smaller document of
-   another chunk; within a chunk this is known;
-5. the chunk removes the covered words.
+   another chunk;
+5. the chunk hashes the windows of those places once more, finds those told, and
+   those that a smaller document of its own has, and removes the covered words.
+
+So no window apart from shared anchors is hashed at all: a window that another
+document has, of the same chunk or not, has an anchor that it shares.
 
 Chunks are dealt by a hash of id and text and hold about ``CHUNK_BYTES``; a
-chunk's texts are shuffled once and read from that shuffle by 1, 3 and 5. What
-chunks and buckets exchange are packed arrays with each value once per chunk,
-so a passage that many documents share costs one value per chunk and bucket
-work is linear in it: no pairs of occurrences are made.
+chunk's texts are shuffled once, to at least as many partitions as there are
+chunks, and read from that shuffle by 1, 3 and 5, in the order of id and text.
+What chunks and buckets exchange are packed arrays with each value once per
+chunk, so a passage that many documents share costs one value per chunk and
+bucket work is linear in it: no pairs of occurrences are made.
+
+Words are known by their 64-bit hash, and windows by two 64-bit hashes of the
+word hashes. Rows equal in id and text fall into one chunk.
 
 Words are runs of non-blanks (ASCII blanks), unchanged. Defined cases: null and
 empty texts have no words, and an empty kept text. Documents of fewer words
@@ -68,9 +77,12 @@ def _bucket_edges(values: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Chunk:
-    """The words of a chunk's documents."""
+    """The words of a chunk's documents, in an order that does not depend on the
+    order of ``rows``. ``places``: the windows that count; only their words are
+    hashed (all, if not given)."""
 
-    def __init__(self, rows: pa.Table):
+    def __init__(self, rows: pa.Table, places: np.ndarray | None = None):
+        rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         self.ids = rows.column("doc_id")
         ids = self.ids.to_numpy() if not self.ids.null_count else self.ids.fill_null(0).to_numpy()
         self.words = [t.split() if t else [] for t in byte_texts(rows.column("text"))]
@@ -78,7 +90,16 @@ class Chunk:
         self.ends = np.cumsum(self.sizes)
         n = int(self.sizes.sum())
         digest = xxhash.xxh64_intdigest
-        self.hashes = np.fromiter((digest(w) for words in self.words for w in words), np.uint64, n)
+        if places is None:
+            self.hashes = np.fromiter((digest(w) for words in self.words for w in words), np.uint64, n)
+        else:
+            use = np.zeros(n + 1, np.int64)
+            np.add.at(use, places, 1)
+            np.add.at(use, places + WINDOW, -1)
+            at = np.flatnonzero(np.cumsum(use[:-1]) > 0)
+            flat = [w for words in self.words for w in words]
+            self.hashes = np.zeros(n, np.uint64)
+            self.hashes[at] = np.fromiter((digest(flat[k]) for k in at.tolist()), np.uint64, len(at))
         self.doc = np.repeat(np.arange(len(ids)), self.sizes)
         self.id = ids[self.doc]
         self.offset = np.arange(n) - np.repeat(self.ends - self.sizes, self.sizes)
@@ -88,27 +109,32 @@ class Chunk:
             usable &= self.ids.is_valid().to_numpy()
         self.usable = usable[self.doc]
 
-    def _rolled(self, length: int, seed: int) -> np.ndarray:
-        """A hash of the ``length`` words from each place on (0 past the end)."""
-        n = len(self.hashes)
-        out = np.zeros(n, np.uint64)
-        if n >= length:
-            h = np.full(n - length + 1, seed, np.uint64)
-            for k in range(length):
-                h = mix64(h + self.hashes[k : n - length + 1 + k]) if k % 4 == 3 else h * np.uint64(0x9E3779B97F4A7C15) + self.hashes[k : n - length + 1 + k]
-            out[: n - length + 1] = mix64(h)
-        return out
+    def _rolled(self, at: np.ndarray, length: int, seed: int) -> np.ndarray:
+        """A hash of the ``length`` words from each of the places on."""
+        h = np.full(len(at), seed, np.uint64)
+        for k in range(length):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + self.hashes[at + k]
+            if k % 4 == 3:
+                h = mix64(h)
+        return mix64(h)
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Places and (even) hashes of the anchors."""
         on = np.isin(np.arange(PERIOD), COVER)[self.offset % PERIOD] & self.usable & (self.left >= ANCHOR)
         at = np.flatnonzero(on)
-        return at, self._rolled(ANCHOR, 1)[at] & ~np.uint64(1)
+        return at, self._rolled(at, ANCHOR, 1) & ~np.uint64(1)
+
+    def windows_at(self, anchors: np.ndarray) -> np.ndarray:
+        """Places of the windows that hold one of the anchors: from a place on,
+        those at it and up to WINDOW - ANCHOR further."""
+        near = np.zeros(len(self.hashes) + 1, np.int64)
+        np.add.at(near, np.maximum(anchors - (WINDOW - ANCHOR), 0), 1)
+        np.add.at(near, anchors + 1, -1)
+        return np.flatnonzero((np.cumsum(near[:-1]) > 0) & self.usable & (self.left >= WINDOW))
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places and both hashes of the windows."""
-        at = np.flatnonzero(self.usable & (self.left >= WINDOW))
-        return at, self._rolled(WINDOW, 2)[at], self._rolled(WINDOW, 3)[at]
+    def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both hashes of the windows at these places."""
+        return self._rolled(at, WINDOW, 2), self._rolled(at, WINDOW, 3)
 
 
 def _groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,42 +221,47 @@ def _send_windows(buckets: int):
             return _table(bucket=[], chunk=[], blob=[])
         chunk = Chunk(rows)
         at, h = chunk.anchors()
-        at = at[_member(h, _merged(told, 1)[0])]
-        # A window from s on holds the anchors at s .. s + WINDOW - ANCHOR.
-        near = np.zeros(len(chunk.hashes) + 1, np.int64)
-        np.add.at(near, np.maximum(at - (WINDOW - ANCHOR), 0), 1)
-        np.add.at(near, at + 1, -1)
-        start, w, v = chunk.windows()
-        use = np.cumsum(near)[start] > 0
-        start, w, v = start[use], w[use], v[use]
-        order, first = _groups(w, v)
-        if not len(order):
+        start = chunk.windows_at(at[_member(h, _merged(told, 1)[0])])
+        if not len(start):
             return _table(bucket=[], chunk=[], blob=[])
+        w, v = chunk.windows(start)
+        order, first = _groups(w, v)
         least = np.minimum.reduceat(chunk.id[start[order]], first)
-        return _by_bucket(rows.column("chunk")[0].as_py(), buckets, w[order][first], v[order][first], least.view(np.uint64))
+        number = rows.column("chunk")[0].as_py()
+        to_itself = _table(bucket=[buckets + number], chunk=[number], blob=[pack(start.view(np.uint64))])
+        return pa.concat_tables([_by_bucket(number, buckets, w[order][first], v[order][first], least.view(np.uint64)), to_itself])
 
     return run
 
 
-def _windows_elsewhere(rows: pa.Table) -> pa.Table:
-    chunks, w, v, ids = _gathered(rows, 3)
-    order, starts = _groups(w, v)
-    chunks, w, v, ids = chunks[order], w[order], v[order], ids[order].view(np.int64)
-    least = np.repeat(np.minimum.reduceat(ids, starts), np.diff(np.append(starts, len(w))))
-    tell = least < ids
-    return _by_chunk(chunks[tell], w[tell], v[tell])
+def _windows_elsewhere(buckets: int):
+    def run(rows: pa.Table) -> pa.Table:
+        if rows.column("bucket")[0].as_py() >= buckets:  # a chunk's own places
+            return pa.table({"chunk": rows.column("chunk"), "own": pa.array([True] * rows.num_rows, pa.bool_()), "blob": rows.column("blob")})
+        chunks, w, v, ids = _gathered(rows, 3)
+        order, starts = _groups(w, v)
+        chunks, w, v, ids = chunks[order], w[order], v[order], ids[order].view(np.int64)
+        least = np.repeat(np.minimum.reduceat(ids, starts), np.diff(np.append(starts, len(w))))
+        tell = least < ids
+        told = _by_chunk(chunks[tell], w[tell], v[tell])
+        return pa.table({"chunk": told.column("chunk"), "own": pa.array([False] * told.num_rows, pa.bool_()), "blob": told.column("blob")})
+
+    return run
 
 
 def _keep(rows: pa.Table, told: pa.Table) -> pa.Table:
-    chunk = Chunk(rows)
-    start, w, v = chunk.windows()
-    order, first = _groups(w, v)
+    own = told.column("own")
+    places = told.filter(own).column("blob").to_pylist()
+    start = unpack(places[0], 1)[0].view(np.int64) if places else np.zeros(0, np.int64)
+    chunk = Chunk(rows, start)
     gone = np.zeros(len(chunk.hashes) + 1, np.int64)
-    if len(order):
+    if len(start):
+        w, v = chunk.windows(start)
+        order, first = _groups(w, v)
         ids = chunk.id[start[order]]
         sizes = np.diff(np.append(first, len(order)))
         repeated = ids > np.repeat(np.minimum.reduceat(ids, first), sizes)
-        far, far2 = _merged(told, 2)
+        far, far2 = _merged(told.filter(pa.compute.invert(own)), 2)
         hit = np.flatnonzero(_member(w[order], far))
         if len(hit):
             pair = set(zip(far.tolist(), far2.tolist()))
@@ -242,9 +273,9 @@ def _keep(rows: pa.Table, told: pa.Table) -> pa.Table:
     keep = np.cumsum(gone[:-1]) == 0
     kept, removed = [], []
     for words, end in zip(chunk.words, chunk.ends.tolist()):
-        own = keep[end - len(words) : end]
-        removed.append(len(words) - int(own.sum()))
-        kept.append((b" ".join(words) if not removed[-1] else b" ".join([w for w, k in zip(words, own.tolist()) if k])).decode())
+        stays = keep[end - len(words) : end]
+        removed.append(len(words) - int(stays.sum()))
+        kept.append((b" ".join(words) if not removed[-1] else b" ".join([w for w, k in zip(words, stays.tolist()) if k])).decode())
     return pa.table({"doc_id": chunk.ids, "n_words": pa.array(chunk.sizes), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())})
 
 
@@ -256,12 +287,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
         "chunk", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks))
     )
+    # Partitions follow the bytes, so that a task's texts do not grow with them.
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = lambda n: max(usual, n)
     sent, told = "bucket long, chunk long, blob binary", "chunk long, blob binary"
-    mine = texts.groupBy("chunk")
-    shared = mine.applyInArrow(_send_anchors(buckets), sent).groupBy("bucket").applyInArrow(_shared_anchors, told)
-    windows = mine.cogroup(shared.groupBy("chunk")).applyInArrow(_send_windows(buckets), sent)
-    elsewhere = windows.groupBy("bucket").applyInArrow(_windows_elsewhere, told)
-    return mine.cogroup(elsewhere.groupBy("chunk")).applyInArrow(_keep, "doc_id long, n_words long, n_removed long, kept string")
+    mine = texts.repartition(parts(chunks), "chunk").groupBy("chunk")
+    shared = mine.applyInArrow(_send_anchors(buckets), sent).repartition(parts(buckets), "bucket").groupBy("bucket").applyInArrow(_shared_anchors, told)
+    windows = mine.cogroup(shared.repartition(parts(chunks), "chunk").groupBy("chunk")).applyInArrow(_send_windows(buckets), sent)
+    elsewhere = windows.repartition(parts(buckets + chunks), "bucket").groupBy("bucket").applyInArrow(_windows_elsewhere(buckets), "chunk long, own boolean, blob binary")
+    return mine.cogroup(elsewhere.repartition(parts(chunks), "chunk").groupBy("chunk")).applyInArrow(_keep, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def repeat_removal(docs: DataFrame) -> DataFrame:

@@ -204,6 +204,18 @@ def test_passage_removal(docs, empty, monkeypatch, size):
     assert passages.repeat_removal(empty).count() == 0
 
 
+def test_only_windows_at_shared_anchors_are_hashed():
+    rows = pa.table({"doc_id": [1, 2], "text": [LONG, " ".join(f"x{k}" for k in range(500)) + " " + PASSAGE], "chunk": [0, 0]})
+    chunk = passages.Chunk(rows)
+    at, _ = chunk.anchors()
+    passage = at[at >= len(LONG.split()) + 500]
+    places = chunk.windows_at(passage)
+    assert 60 - 12 <= len(places) <= 60 and places.min() >= len(LONG.split()) + 494 and not len(chunk.windows_at(at[:0]))
+    again = passages.Chunk(rows, places)
+    assert (again.hashes != 0).sum() <= len(places) + 12
+    assert all((a == b).all() for a, b in zip(chunk.windows(places), again.windows(places)))
+
+
 def test_any_two_places_share_a_cover_shift():
     for a in range(passages.PERIOD):
         for b in range(passages.PERIOD):
