@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from areacast.llm import chat, coder, decontaminate, langid, lm, mixing, neighbours, passages, quality, simhash, tokens
+from areacast.llm import chat, coder, decontaminate, langid, mixing, neighbours, passages, quality, simhash, tokens
 from areacast.llm.common import importable
 
 LONG = " ".join(f"w{i % 977}" for i in range(30_000))
@@ -280,35 +280,6 @@ def chat_words(text):
     return text.encode().split()
 
 
-def test_lm_base_scores_and_normalisation(docs, empty):
-    rows = [tuple(r) for r in lm.language_model_scores(docs).collect()]
-    token = lambda t: (t or "").encode().lower().split() + [b""]
-    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
-    counts = Counter(w for i, t in TEXTS if not held(i) for w in token(t))
-    n, v = sum(counts.values()), len(counts)
-    want = sorted(((i, held(i), len(token(t)), sum(w in counts for w in token(t)), n, sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in token(t))) for i, t in TEXTS), key=str)
-    got = sorted((r[:6] for r in rows), key=str)
-    assert [g[:5] for g in got] == [w[:5] for w in want]
-    assert np.allclose([g[5] for g in got], [w[5] for w in want], rtol=1e-10)
-    assert all(np.isfinite(r[6]) and r[6] <= 0 for r in rows)
-    assert lm.language_model_scores(empty).count() == 0
-    model = lm.LogBilinear.begin(np.full(lm.CLASSES, 1 / lm.CLASSES))
-    assert np.allclose((10.0 ** model.log10_table()).sum(axis=1), 1, atol=1e-4)
-
-
-def test_lm_learns_contexts():
-    classes = np.tile([3, 7, 9, lm.END], 4000)
-    starts = np.arange(0, len(classes), 4)
-    shares = np.full(lm.CLASSES, 1 / lm.CLASSES)
-    model = lm.LogBilinear.begin(shares)
-    sums = [np.full_like(p, 1e-4) for p in (model.seen, model.next, model.bias, model.first, model.second)]
-    last, before = lm.contexts(classes, starts)
-    for _ in range(30):
-        lm.nce_pass(model, last, before, classes, shares, sums, 0.1, np.random.default_rng(1))
-    table = model.log10_table()
-    assert table[before[0] * 256 + last[0], 3] > np.log10(0.5) and table[3 * 256 + 7, 9] > np.log10(0.5)
-
-
 def test_nearest_neighbours(spark):
     importable(spark)
     r = np.random.default_rng(3)
