@@ -1,7 +1,7 @@
 """Language-model scoring by a log-bilinear neural model with a factored softmax.
 
 Tokens are ASCII-lower-cased words, and an end after each text. The vocabulary
-follows the corpus: of V distinct training words the ``2 V ** 0.6`` most frequent
+follows the corpus: of V distinct training words the ``V ** GROWTH`` most frequent
 are units of their own, with vectors of their own as context and as prediction.
 Units fall into groups by a hash of a word's last two bytes, about as many groups
 as a group has units; the other words of a group are one more unit, its tail. The
@@ -53,6 +53,8 @@ HEAD = 1 << 17
 TAILS = 4096
 WIDTH, NOISE, INNER, BATCH, RATE = 16, 16, 2, 4096, 0.3
 PASSES, ROUNDS = 1, 4
+#: Of the distinct words' number, for the words with vectors of their own.
+GROWTH = 0.56
 SHARD_TOKENS = 4_000_000
 #: Words that a task counts before it passes the counts on.
 _COUNTED = 400_000
@@ -134,7 +136,7 @@ class Vocabulary:
 
 def unit_counts(distinct: int) -> tuple[int, int]:
     """Words with units of their own, and groups, for so many distinct words."""
-    own = int(2 * max(distinct, 0) ** 0.6)
+    own = int(max(distinct, 0) ** GROWTH)
     groups = 1 << max(4, round(np.log2(max(own, 1)) / 2))
     return own, min(groups, TAILS)
 
@@ -293,10 +295,11 @@ class LogBilinear:
 
 def _log_softmax(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Natural log of the softmax at a place of each row; ``scores`` is used up."""
-    own, top = scores[np.arange(len(at)), at], scores.max(axis=1)
-    scores -= top[:, None]
-    np.exp(scores, out=scores)
-    return own - top - np.log(scores.sum(axis=1))
+    own = scores[np.arange(len(at)), at]
+    if np.abs(scores).max(initial=0) > 60:  # beyond the exponents of floats
+        top = scores.max(axis=1, keepdims=True)
+        return own - top[:, 0] - np.log(np.exp(scores - top).sum(axis=1))
+    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
 
 
 def contexts(units: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -321,8 +324,9 @@ def nce_pass(model: LogBilinear, last: np.ndarray, before: np.ndarray, target: n
     hold the squared gradients (Adagrad)."""
     units, groups = len(model.bias), len(model.group_bias)
     bar, inner_bar = np.log(NOISE * noise.group_share).astype(np.float32), np.log(INNER * noise.share).astype(np.float32)
-    for k in range(0, len(target), BATCH):
-        u, w, t = last[k : k + BATCH], before[k : k + BATCH], target[k : k + BATCH]
+    size = max(BATCH, 2 * units)  # an update touches all units
+    for k in range(0, len(target), size):
+        u, w, t = last[k : k + size], before[k : k + size], target[k : k + size]
         g = noise.group[t]
         eu, ew = model.seen[u], model.seen[w]
         h = eu * model.first + ew * model.second
@@ -381,6 +385,25 @@ def _averaged(rows: pa.Table) -> pa.Table:
     return pa.table({"k": rows.column("k")[:1], "shard": pa.array([0]), "n": pa.array([int(n.sum())]), "x": pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))})
 
 
+def _trained(sent, seed: int):
+    """A shard's pass over its texts of a round, and the numbers it sends."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        begin, before, drawn = sent.value
+        own, squares = begin.like(begin.flat()), begin.like(before).parts()
+        random, rows = np.random.default_rng([5, seed]), rows.sort_by("h")
+        for k in range(0, rows.num_rows, 2000):
+            units, starts = _sequence(rows.column("units").slice(k, 2000))
+            nce_pass(own, *contexts(units, starts, len(drawn.group) - 1), units, drawn, squares, RATE, random)
+        flat = np.concatenate([own.flat(), *(s.ravel() for s in squares)])
+        parts = [flat[k : k + _ROW] for k in range(0, len(flat), _ROW)]
+        n = sum(map(len, rows.column("units").to_pylist())) // 4
+        same = lambda value: pa.array([value] * len(parts), pa.int64())
+        return pa.table({"k": pa.array(range(len(parts)), pa.int32()), "shard": same(rows.column("shard")[0].as_py()), "n": same(n), "x": pa.array(parts, pa.list_(pa.float32()))})
+
+    return run
+
+
 def shard_count(vocabulary: Vocabulary, shard_tokens: int = SHARD_TOKENS) -> int:
     """Shards of ``shard_tokens``, or of 16 tokens a parameter if that is more, so
     that what shards send stays below a byte a token and round."""
@@ -395,31 +418,12 @@ def fit_model(encoded: DataFrame, vocabulary: Vocabulary, passes: int = PASSES,
     model = LogBilinear.begin(noise.group_share, noise.share)
     spark, size, shards = encoded.sparkSession, len(model.flat()), shard_count(vocabulary, shard_tokens)
     sums = np.full(size, 1e-7, np.float32)
-    tokens = encoded.where("not held_out").select("h", "units")
+    tokens = encoded.where("not held_out").select("h", "units", F.pmod("h", F.lit(shards)).alias("shard"))
     schema = "k int, shard long, n long, x array<float>"
     for round_ in range(passes * ROUNDS):
         sent = spark.sparkContext.broadcast((model, sums, noise))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, seed=round_) -> Iterator[pa.RecordBatch]:
-            begin, before, drawn = sent.value
-            own, squares = begin.like(begin.flat()), begin.like(before).parts()
-            random, seen, shard = np.random.default_rng([5, seed]), 0, 0
-            for b in _sliced(batches):
-                if not seen:
-                    shard = b.column(0)[0].as_py()  # orders the shards' sums
-                units, starts = _sequence(b.column(1))
-                nce_pass(own, *contexts(units, starts, len(drawn.group) - 1), units, drawn, squares, RATE, random)
-                seen += len(units)
-            if seen:
-                flat = np.concatenate([own.flat(), *(s.ravel() for s in squares)])
-                for k in range(0, len(flat), _ROW):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k // _ROW], pa.int32()), pa.array([shard]), pa.array([seen]), pa.array([flat[k : k + _ROW]], pa.list_(pa.float32()))],
-                        ["k", "shard", "n", "x"],
-                    )
-
-        part = tokens.where(F.pmod(F.shiftright("h", 20), F.lit(ROUNDS)) == round_ % ROUNDS).repartition(shards, "h").sortWithinPartitions("h")
-        rows = part.mapInArrow(run, schema).groupBy("k").applyInArrow(_averaged, schema).select("k", "x").collect()
+        part = tokens.where(F.pmod(F.shiftright("h", 20), F.lit(ROUNDS)) == round_ % ROUNDS).repartition(2 * shards, "shard").groupBy("shard")
+        rows = part.applyInArrow(_trained(sent, round_), schema).groupBy("k").applyInArrow(_averaged, schema).select("k", "x").collect()
         if rows:
             flat = np.concatenate([np.array(r.x, np.float32) for r in sorted(rows, key=lambda r: r.k)])
             model, sums = model.like(flat[:size]), flat[size:]
