@@ -56,7 +56,8 @@ PASSES, ROUNDS = 1, 4
 #: Of the distinct words' number, for the words with vectors of their own.
 GROWTH = 0.56
 SHARD_TOKENS = 4_000_000
-#: Words that a task counts before it passes the counts on.
+#: Words that a task counts before it passes the counts on, and rare words whose
+#: tail it remembers.
 _COUNTED = 400_000
 #: Tokens scored at a time, and parameters in a row of a shard's result.
 _SCORED, _ROW = 1 << 14, 1 << 14
@@ -180,8 +181,13 @@ class _Places(dict):
         super().__init__(vocabulary.words)
         self.tails = [int(vocabulary.starts[t % (vocabulary.groups - 1) + 1]) - 1 for t in range(TAILS)]
 
+        self.room = len(self) + _COUNTED
+
     def __missing__(self, word: bytes) -> int:
-        return -1 - self.tails[tail_of(word)]
+        place = -1 - self.tails[tail_of(word)]
+        if len(self) < self.room:
+            self[word] = place
+        return place
 
 
 _ENCODED = "row long, doc_id long, held_out boolean, h long, n_tokens long, units binary, base double, inside double, known long, words array<string>, times array<int>"
@@ -285,7 +291,7 @@ class LogBilinear:
         """Natural log P(target | last, before) of units, normalised."""
         h, g = self.context(last, before), group[target]
         out = _log_softmax(h @ self.group.T + self.group_bias, g)
-        order = np.argsort(g, kind="stable")
+        order = np.argsort(g.astype(np.uint16), kind="stable")  # groups are at most TAILS + 1
         edges = np.searchsorted(g[order], np.arange(len(starts)))
         for k in np.flatnonzero((np.diff(edges) > 0) & (np.diff(starts) > 1)).tolist():
             rows, a, b = order[edges[k] : edges[k + 1]], starts[k], starts[k + 1]
@@ -294,12 +300,15 @@ class LogBilinear:
 
 
 def _log_softmax(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural log of the softmax at a place of each row; ``scores`` is used up."""
+    """Natural log of the softmax at a place of each row."""
     own = scores[np.arange(len(at)), at]
-    if np.abs(scores).max(initial=0) > 60:  # beyond the exponents of floats
-        top = scores.max(axis=1, keepdims=True)
-        return own - top[:, 0] - np.log(np.exp(scores - top).sum(axis=1))
-    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+    with np.errstate(over="ignore", divide="ignore"):
+        out = own - np.log(np.exp(scores).sum(axis=1))
+    bad = np.flatnonzero(~np.isfinite(out))  # beyond the exponents of floats
+    if len(bad):
+        top = scores[bad].max(axis=1, keepdims=True)
+        out[bad] = own[bad] - top[:, 0] - np.log(np.exp(scores[bad] - top).sum(axis=1))
+    return out
 
 
 def contexts(units: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
