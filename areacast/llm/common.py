@@ -25,13 +25,53 @@ def in_bucket(doc_id: str | Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(id_bucket(doc_id, modulus) == remainder, F.lit(False))
 
 
+#: Folders that this package made below the shared folder, by application.
+_MADE: dict[str, list[str]] = {}
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, noted for `remove_made`."""
+    path = fresh_path(spark, name)
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes Parquet below the shared folder and rereads it."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = new_folder(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def remove_made(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Removes the folders this application made from number ``since`` on, but
+    for those whose last part begins with one of ``keep``. Results that read them
+    cannot be read again."""
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    context, left = spark.sparkContext, []
+    for path in made[since:]:
+        if path.rsplit("/", 1)[-1].startswith(keep or ("/",)):
+            left.append(path)
+            continue
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    made[since:] = left
+
+
+class Intermediates:
+    """What is written within goes when the block ends, by an error too; folders
+    of the names in ``keep`` stay if it ends without one."""
+
+    def __init__(self, spark: SparkSession, *keep: str):
+        self.spark, self.keep = spark, keep
+
+    def __enter__(self) -> Intermediates:
+        self.since = len(_MADE.setdefault(self.spark.sparkContext.applicationId, []))
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        remove_made(self.spark, self.since, self.keep if kind is None else ())
 
 
 def importable(spark: SparkSession) -> None:

@@ -39,8 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areacast.llm import coder
-from areacast.llm.common import byte_texts, pieces
-from areacast.session import fresh_path
+from areacast.llm.common import byte_texts, new_folder, pieces
 
 TOKENIZER, SYMBOLS, END = "word_bpe_49k.json", 49_408, 2
 #: Words a worker keeps with their ids; beyond, it begins anew.
@@ -154,9 +153,22 @@ class WordIds:
         return np.insert(flat, stops, end), np.diff(stops, prepend=0) + 1
 
 
+class TextIds:
+    """The ids of whole texts, by any tokenizer."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+
+    def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode_batch([(t or b"").decode() for t in texts], add_special_tokens=False)
+        sizes = np.fromiter((len(e.ids) + 1 for e in found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable((*e.ids, end) for e in found), np.int64, int(sizes.sum())), sizes
+
+
 @cache
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _encoder(path: str | None) -> WordIds | TextIds:
+    """Words are encoded one by one for the tokenizer that this holds for."""
+    return TextIds(path) if path else WordIds(public_tokenizers.path(TOKENIZER))
 
 
 def _place(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -172,7 +184,8 @@ def _name(folder: str, shard: int) -> str:
 def write_file(out, documents: Iterator[tuple[list[int | None], np.ndarray, np.ndarray]], symbols: int = SYMBOLS) -> tuple[int, int]:
     """Writes documents given as (doc ids, token ids, token counts) pieces;
     returns the documents and ids written."""
-    out.write(b"ATID" + struct.pack("<II", 1, symbols))
+    out.write(b"ATID" + struct.pack("<II", 2, symbols))
+    places = [12]
     names: list[int | None] = []
     counts: list[np.ndarray] = [np.zeros(0, np.int64)]
     held = np.zeros(0, np.int32)
@@ -181,6 +194,7 @@ def write_file(out, documents: Iterator[tuple[list[int | None], np.ndarray, np.n
     def block(ids: np.ndarray) -> None:
         data = coder.encode(ids, symbols)
         out.write(struct.pack("<I", len(data)) + data)
+        places.append(places[-1] + 4 + len(data))
 
     for ids, tokens, sizes in documents:
         names += ids
@@ -194,14 +208,14 @@ def write_file(out, documents: Iterator[tuple[list[int | None], np.ndarray, np.n
         block(held)
     index = zlib.compress(
         np.array([i or 0 for i in names], "<i8").tobytes() + np.array([i is None for i in names], "u1").tobytes() + np.concatenate(counts).astype("<u8").tobytes()
+        + np.array(places, "<u8").tobytes()
     )
     out.write(struct.pack("<I", 0) + index + struct.pack("<III", zlib.crc32(index), len(index), len(names)))
     return len(names), total
 
 
-def read_file(source) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
-    """(doc ids, token ids, token counts) of the documents of a file, by block;
-    ``source`` can seek. Raises on damage."""
+def _index(source) -> tuple[int, list[int | None], np.ndarray, np.ndarray]:
+    """Symbols, doc ids, token counts and the places of the blocks of a file."""
     source.seek(0, 2)
     size = source.tell()
     source.seek(size - 12)
@@ -213,11 +227,30 @@ def read_file(source) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray
     if head[:4] != b"ATID" or zlib.crc32(packed) != check:
         raise ValueError("not a whole file of token ids")
     index = zlib.decompress(packed)
-    symbols = struct.unpack("<II", head[4:])[1]
     names = np.frombuffer(index, "<i8", n).tolist()
     nulls = np.frombuffer(index, "u1", n, 8 * n).tolist()
     ids = [None if z else i for i, z in zip(names, nulls)]
-    counts = np.frombuffer(index, "<u8", n, 9 * n).astype(np.int64)
+    return struct.unpack("<II", head[4:])[1], ids, np.frombuffer(index, "<u8", n, 9 * n).astype(np.int64), np.frombuffer(index, "<u8", -1, 17 * n).astype(np.int64)
+
+
+def read_document(source, k: int) -> np.ndarray:
+    """The ids of the k-th document of a file; reads the blocks that hold it."""
+    symbols, _, counts, places = _index(source)
+    start, stop = int(counts[:k].sum()), int(counts[: k + 1].sum())
+    first, last = start // coder.BLOCK, (stop - 1) // coder.BLOCK
+    parts = []
+    for block in range(first, last + 1):
+        source.seek(int(places[block]) + 4)
+        parts.append(coder.decode(source.read(int(places[block + 1] - places[block]) - 4), symbols))
+    return np.concatenate(parts)[start - first * coder.BLOCK : stop - first * coder.BLOCK]
+
+
+def read_file(source) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+    """(doc ids, token ids, token counts) of the documents of a file, by block;
+    ``source`` can seek. Raises on damage."""
+    symbols, ids, counts, places = _index(source)
+    n = len(ids)
+    source.seek(int(places[0]))
     done, held = 0, np.zeros(0, np.int32)
     while length := struct.unpack("<I", source.read(4))[0]:
         held = np.concatenate([held, coder.decode(source.read(length), symbols)])
@@ -234,15 +267,17 @@ def read_file(source) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int = END) -> list[tuple[int, int]]:
     """Writes the files of ``docs`` (doc_id, text) into ``folder``, which all
     executors share; returns each shard's documents and ids, in order. That is
-    a pair for each partition."""
-    path = tokenizer or public_tokenizers.path(TOKENIZER)
+    a pair for each partition. ``tokenizer``: the file of another tokenizer of
+    at most SYMBOLS ids, which encodes whole texts. The order, and the ranges,
+    are those of id and a hash of the text, so that rows of one id are dealt
+    to several files."""
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+        .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, task = _word_ids(path), TaskContext.get()
+        words, task = _encoder(tokenizer), TaskContext.get()
         system, base = _place(folder)
         system.create_dir(base)
         shard = task.partitionId()
@@ -295,5 +330,5 @@ def token_digests(docs: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read back from
     the files it writes into the shared folder."""
     spark = docs.sparkSession
-    folder = fresh_path(spark, "token-files")
+    folder = new_folder(spark, "token-files")
     return read_token_files(spark, folder, write_token_files(docs, folder), digest=True)

@@ -365,6 +365,69 @@ def test_token_files(docs, empty, spark, tmp_path, monkeypatch):
         assert ids.tolist() == [*plain.encode(t or "", add_special_tokens=False).ids, 2, *plain.encode("one", add_special_tokens=False).ids, 2]
 
 
+def test_one_document_is_read_from_its_blocks(docs, spark, tmp_path):
+    folder = str(tmp_path / "files")
+    shards = tokens.write_token_files(docs, folder)
+    whole = {(r.start): list(r.ids) for r in tokens.read_token_files(spark, folder, shards).collect()}
+    start = 0
+    for k, path in enumerate(sorted((tmp_path / "files").glob("part*"))):
+        with open(path, "rb") as f:
+            for d in range(shards[k][0]):
+                ids = tokens.read_document(f, d).tolist()
+                assert ids == whole[start]
+                start += len(ids)
+    assert start == sum(n for _, n in shards)
+
+
+def test_other_tokenizers_encode_whole_texts(docs, spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(other)
+    small = docs.where("doc_id in (0, 1, 4, 10)")
+    folder = str(tmp_path / "files")
+    read = lambda: tokens.read_token_files(spark, folder, tokens.write_token_files(small, folder, other)).collect()
+    want = {i: [*plain.encode(t or "", add_special_tokens=False).ids, 2] for i, t in TEXTS if i in (0, 1, 4, 10)}
+    if max(map(max, want.values())) < tokens.SYMBOLS:
+        assert {r.doc_id: list(r.ids) for r in read()} == want
+    else:
+        with pytest.raises(Exception, match="symbol|SYMBOLS|ids"):
+            read()
+
+
+def test_rows_of_one_id_go_to_several_files(spark, tmp_path):
+    importable(spark)
+    rows = spark.createDataFrame([(7, f"text number {k} of the id") for k in range(400)] + [(k, "other") for k in range(20)], "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = tokens.write_token_files(rows, str(tmp_path / "files"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(n for n, _ in shards) == 420 and max(n for n, _ in shards) < 200
+    read = tokens.read_token_files(spark, str(tmp_path / "files"), shards).orderBy("start").collect()
+    assert [r.doc_id for r in read] == sorted(r.doc_id for r in read)
+
+
+def test_intermediates_go_when_the_block_ends(spark):
+    import os
+
+    from areacast.llm import common
+
+    folders = lambda: [p for p in common._MADE[spark.sparkContext.applicationId] if os.path.isdir(p.removeprefix("file:"))]
+    importable(spark)
+    common._MADE.setdefault(spark.sparkContext.applicationId, [])
+    before = folders()
+    with common.Intermediates(spark, "kept"):
+        common.written(spark.range(3), "lost")
+        kept = common.written(spark.range(4), "kept")
+    assert len(folders()) == len(before) + 1 and kept.count() == 4
+    with pytest.raises(ZeroDivisionError), common.Intermediates(spark, "kept"):
+        common.written(spark.range(3), "kept")
+        1 / 0
+    assert len(folders()) == len(before) + 1
+
+
 def test_coder_round_trips():
     r = np.random.default_rng(1)
     for n in (0, 1, 511, 513, 3000):

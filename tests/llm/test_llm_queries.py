@@ -100,6 +100,48 @@ def test_pipeline_equals_its_operators(spark):
         assert stage(spark, docs.where("false"), DIR).columns == docs.columns, name
 
 
+def test_pipeline_over_nulls_long_texts_and_repeats(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from areacast.llm import common, tokens
+
+    docs = table(spark, DIR, "documents")
+    long = " ".join(r.text for r in docs.where("text is not null").orderBy("doc_id").limit(60).collect())
+    first = docs.orderBy("doc_id").first()
+    odd = [(900_001, None, None, None), (900_002, "", "en", "src1"), (900_003, long, "en", None), (None, first.text, "en", "src0"), (None, None, None, None), (None, long, None, "src0")]
+    more = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text"))
+    whole = docs.unionByName(more.select(*(F.col(f.name).cast(f.dataType) for f in docs.schema))).union(docs.limit(20))
+    whole.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        table(spark, DIR, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert len(got) and got.start.tolist() == np.append(0, np.cumsum(got.n_tokens))[:-1].tolist()
+    plain = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    sizes = {}
+    for r in whole.collect():
+        sizes.setdefault(r.doc_id, set()).add(len(plain.encode(r.text or "", add_special_tokens=False).ids) + 1)
+    assert all(n in sizes[None if i != i else int(i)] for i, n in zip(got.doc_id, got.n_tokens))
+    # Only what the result reads is left.
+    made = [p.removeprefix("file:") for p in common._MADE[spark.sparkContext.applicationId]]
+    assert not [p for p in made if "/stage-" in p] and os.path.isdir(made[-1]) and "/token-files" in made[-1]
+    common.remove_made(spark)
+    assert not os.path.isdir(made[-1])
+
+
+def test_a_failing_pipeline_leaves_nothing(spark, monkeypatch):
+    from areacast.llm import common
+
+    def fails(spark, docs, sf_dir):
+        raise ValueError("no tokens")
+
+    common.remove_made(spark)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[2:4], ("token_output", fails)])
+    with pytest.raises(ValueError, match="no tokens"):
+        corpus_pipeline.run(spark, DIR)
+    assert common._MADE[spark.sparkContext.applicationId] == []
+
+
 def test_stages_return_the_documents_own_columns(spark):
     docs = table(spark, DIR, "documents")
     clash = ("score", "predicted", "n_words", "spans", "items", "topic", "n_tokens", "weight", "prob", "Kept", "_row", "_source")
