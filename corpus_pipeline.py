@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and reread as the next one's documents; all but the last return the
 columns of the documents.
+
+Defined cases: null and empty texts are judged like others by every stage. Rows
+of one id are one document to near-dedup, which keeps them all or none, and rows
+without an id are each kept there. Extra columns, of any name, are carried. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areacast.llm import decontaminate, mixing, quality, simhash, tokens
-from areacast.llm.common import importable, set_apart, table, written
+from areacast.llm.common import Intermediates, importable, set_apart, table, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +63,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents."""
+    """All stages over the table documents. What they write on the way is removed,
+    but for the token files, which the result reads."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with Intermediates(spark, "token-files"):
+        for name, stage in STAGES[:-1]:
+            with Intermediates(spark, "stage-"):
+                docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)
