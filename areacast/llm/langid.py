@@ -2,15 +2,22 @@
 
 N-grams are letter trigrams of lower-cased words with their borders. A trigram
 belongs to a language if it is in at least two of its training documents (one,
-if the language has fewer than ten) and its document rate there is at least
-``RELATIVE`` of its highest rate in any language. The filter is a bit-sliced
-Bloom filter: slot s holds a bit for each language, a trigram sets its
-languages' bits in ``PROBES`` slots, and the AND of a trigram's slots returns
-all languages that contain it at once. A text's popcount for a language, less
-what the language's false-positive rate would give, decides.
-
-Training counts are partial sums by task, then by trigram; only the filter,
-``SLOTS`` words for 63 languages, reaches the driver.
+if the language has fewer than ten) and in ``LEAST`` of them, and its document
+rate there is at least ``RELATIVE`` of its highest rate in any language. The
+filter is a bit-sliced Bloom filter: slot s holds a bit for each language, a
+trigram sets its languages' bits in ``PROBES`` slots, and the AND of a trigram's
+slots returns all languages that contain it at once. A text's popcount for a
+language, less what the language's false-positive rate would give, decides.
+
+A slice holds 63 languages, those of most trigrams first, and has as many slots
+as keep the false-positive rate of its largest language at ``WRONG`` or below: 29
+to 57 for each of its trigrams. As a trigram must be in a share of ``LEAST`` of a
+language's documents, there are at most 1 / LEAST times as many as a document
+has on average, whatever the corpus; and the slices of many rare languages are
+small.
+
+Training counts are partial sums by task, then by trigram; only the filter
+reaches the driver.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0.
 Ties go to the smaller name. A text none of whose trigrams is known gets the
@@ -29,11 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areacast.llm.common import in_bucket, mix64
+from areacast.llm.common import in_bucket, mix64, written
 
-SLOTS = 1 << 20
-PROBES = 3
-RELATIVE = 0.1
+PROBES, WRONG = 3, 0.001
+RELATIVE, LEAST = 0.1, 0.0005
 _WORD = 63  # languages to a slice of bits
 
 
@@ -54,36 +60,48 @@ def trigrams(text: str | None) -> np.ndarray:
     return found[codes[1:-1] != 0] if len(found) else found
 
 
-def slots_of(grams: np.ndarray) -> list[np.ndarray]:
-    return [(mix64(grams.view(np.uint64) ^ np.uint64(0x51_7C_C1 + k)) & np.uint64(SLOTS - 1)).astype(np.int64) for k in range(PROBES)]
+def slot_count(grams: int) -> int:
+    """A power of two at which so many trigrams leave a false-positive rate of
+    at most WRONG."""
+    share = WRONG ** (1 / PROBES)
+    return 1 << max(10, int(np.ceil(np.log2(max(grams, 1) * PROBES / -np.log1p(-share)))))
+
+
+def slots_of(grams: np.ndarray, slots: int) -> list[np.ndarray]:
+    return [(mix64(grams.view(np.uint64) ^ np.uint64(0x51_7C_C1 + k)) & np.uint64(slots - 1)).astype(np.int64) for k in range(PROBES)]
 
 
 @dataclass(frozen=True)
 class LanguageFilter:
-    """``bits``: a row of slots for each slice of 63 languages."""
+    """``bits``: the slots of each slice of 63 languages; ``place``: a language's
+    slice * 63 + bit."""
 
     names: list[str]
-    bits: np.ndarray
+    bits: list[np.ndarray]
+    place: np.ndarray
     most: int  # the language with most training documents
 
     def fill(self) -> np.ndarray:
         """Each language's false-positive rate."""
-        share = [float((self.bits[k // _WORD] >> np.int64(k % _WORD) & 1).mean()) for k in range(len(self.names))]
+        share = [float((self.bits[p // _WORD] >> np.int64(p % _WORD) & 1).mean()) for p in self.place.tolist()]
         return np.array(share) ** PROBES
 
     def decide(self, text: str | None, wrong: np.ndarray) -> tuple[str, float]:
         grams = trigrams(text)
         if not len(grams) or not self.names:
             return "und", 0.0
-        places = slots_of(grams)
-        hits = np.empty(len(self.names))
-        for at in range(len(self.bits)):
-            mask = self.bits[at][places[0]]
+        hits, at = np.zeros(len(self.bits) * _WORD), {}
+        for k, bits in enumerate(self.bits):
+            places = at.setdefault(len(bits), None) or slots_of(grams, len(bits))
+            at[len(bits)] = places
+            mask = bits[places[0]]
             for p in places[1:]:
-                mask = mask & self.bits[at][p]
-            for k in range(at * _WORD, min((at + 1) * _WORD, len(self.names))):
-                hits[k] = np.count_nonzero(mask >> np.int64(k % _WORD) & 1)
-        rate = np.clip((hits / len(grams) - wrong) / np.maximum(1 - wrong, 1e-9), 0, 1)
+                mask = mask & bits[p]
+            used = int(np.bitwise_or.reduce(mask))
+            for bit in range(_WORD):
+                if used >> bit & 1:
+                    hits[k * _WORD + bit] = np.count_nonzero(mask >> np.int64(bit) & 1)
+        rate = np.clip((hits[self.place] / len(grams) - wrong) / np.maximum(1 - wrong, 1e-9), 0, 1)
         if not rate.any():
             return self.names[self.most], 0.0
         best = int(rate.argmax())
@@ -110,25 +128,37 @@ def fit_languages(train: DataFrame) -> LanguageFilter:
     )
     sizes = {r.lang: r.n for r in counts.where("gram = -1").collect()}  # a row for each language
     names = sorted(sizes)
-    slices = max(1, -(-len(names) // _WORD))
     if not names:
-        return LanguageFilter([], np.zeros((1, SLOTS), np.int64), 0)
+        return LanguageFilter([], [], np.zeros(0, np.int64), 0)
     spark = train.sparkSession
-    total = spark.createDataFrame([(k, i, sizes[k]) for i, k in enumerate(names)], "lang string, place int, total long")
+    total = spark.createDataFrame([(k, sizes[k]) for k in names], "lang string, total long")
     rated = counts.where("gram != -1").join(F.broadcast(total), "lang").withColumn("rate", F.col("n") / F.col("total"))
     rated = rated.withColumn("top", F.max("rate").over(Window.partitionBy("gram")))
-    own = rated.where((F.col("rate") >= RELATIVE * F.col("top")) & (F.col("n") >= F.when(F.col("total") < 10, 1).otherwise(2)))
+    own = written(
+        rated.where((F.col("rate") >= RELATIVE * F.col("top")) & (F.col("rate") >= LEAST) & (F.col("n") >= F.when(F.col("total") < 10, 1).otherwise(2))).select("lang", "gram"),
+        "language-trigrams",
+    )
+    grams = {r.lang: r.n for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    order = sorted(names, key=lambda k: (-grams.get(k, 0), k))
+    slots = [slot_count(grams.get(order[k], 0)) for k in range(0, len(order), _WORD)]
+    placed = spark.createDataFrame([(k, i) for i, k in enumerate(order)], "lang string, place long")
 
     def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            grams, place = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)
-            for slot in slots_of(grams):
-                yield pa.RecordBatch.from_arrays([pa.array(place // _WORD), pa.array(slot), pa.array(np.int64(1) << place % _WORD)], ["at", "slot", "bit"])
-
-    filled = own.select("gram", "place").mapInArrow(to_slots, "at long, slot long, bit long").groupBy("at", "slot").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros((slices, SLOTS), np.int64)
-    bits[filled.column("at").to_numpy(), filled.column("slot").to_numpy()] = filled.column("bits").to_numpy()
-    return LanguageFilter(names, bits, max(range(len(names)), key=lambda i: (sizes[names[i]], -i)))
+            grams, place = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for at in np.unique(place // _WORD).tolist():
+                here = place // _WORD == at
+                for slot in slots_of(grams[here], slots[at]):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), at)), pa.array(slot), pa.array(np.int64(1) << place[here] % _WORD)], ["at", "slot", "bit"])
+
+    marked = own.join(F.broadcast(placed), "lang").select("gram", "place")
+    filled = marked.mapInArrow(to_slots, "at long, slot long, bit long").groupBy("at", "slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = [np.zeros(n, np.int64) for n in slots]
+    at, slot, value = (filled.column(k).to_numpy() for k in ("at", "slot", "bits"))
+    for k, part in enumerate(bits):
+        part[slot[at == k]] = value[at == k]
+    number = {k: i for i, k in enumerate(order)}
+    return LanguageFilter(names, bits, np.array([number[k] for k in names]), max(range(len(names)), key=lambda i: (sizes[names[i]], -i)))
 
 
 def predict_languages(docs: DataFrame, model: LanguageFilter) -> DataFrame:

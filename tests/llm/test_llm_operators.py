@@ -241,15 +241,64 @@ def test_language_filter(spark, docs, empty):
 
 
 def test_bloom_slices_return_all_languages():
-    bits = np.zeros((2, langid.SLOTS), np.int64)
+    bits = [np.zeros(1 << 12, np.int64), np.zeros(1 << 10, np.int64)]
     grams = langid.trigrams("spark")
-    for p in langid.slots_of(grams):
-        bits[0][p] |= 1 << 5
-        bits[1][p] |= 1 << 2
-    model = langid.LanguageFilter([f"l{k:03d}" for k in range(66)], bits, 0)
+    for part, bit in zip(bits, (5, 2)):
+        for p in langid.slots_of(grams, len(part)):
+            part[p] |= 1 << bit
+    model = langid.LanguageFilter([f"l{k:03d}" for k in range(66)], bits, np.arange(66), 0)
     assert model.decide("spark", model.fill()) == ("l005", 0.5)  # a tie with l065
 
 
+def plain_languages(train):
+    """Sets of trigrams by language, by the rules."""
+    by, size = {}, Counter()
+    for lang, text in train:
+        if lang is not None and text is not None:
+            size[lang] += 1
+            for g in set(langid.trigrams(text).tolist()):
+                by.setdefault(g, Counter())[lang] += 1
+    known = {k: set() for k in size}
+    for g, counts in by.items():
+        top = max(n / size[k] for k, n in counts.items())
+        for k, n in counts.items():
+            if n / size[k] >= langid.RELATIVE * top and n / size[k] >= langid.LEAST and n >= (1 if size[k] < 10 else 2):
+                known[k].add(g)
+    return known
+
+
+def test_languages_equal_the_plain_sets(spark):
+    from areacast.llm.common import table
+
+    for sf in ("sf0.001", "sf0.01"):
+        docs = table(spark, f"/root/testdata/{sf}", "documents")
+        rows = docs.select("doc_id", "lang", "text").collect()
+        known = plain_languages([(r.lang, r.text) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 != 0])
+        model = langid.fit_languages(docs.where("crc32(cast(doc_id as string)) % 5 != 0"))
+        assert model.fill().max() <= 1.3 * langid.WRONG  # the stated rate, but for chance
+        got = {r.doc_id: (r.lang_pred, r.score) for r in langid.language_predictions(docs).collect()}
+        off = []
+        for r in rows:
+            grams = langid.trigrams(r.text).tolist()
+            rate = {k: sum(g in s for g in grams) / len(grams) for k, s in known.items()} if grams else {}
+            best = max(sorted(rate), key=rate.get) if any(rate.values()) else None
+            if best is not None:
+                off.append(got[r.doc_id][0] != best)
+                assert off[-1] or len(grams) < 50 or abs(got[r.doc_id][1] - rate[best] / sum(rate.values())) < 0.05
+        assert np.mean(off) <= 0.01
+
+
+def test_many_languages_take_small_slices(spark):
+    importable(spark)
+    letters = [chr(0x4E00 + k) for k in range(500)]
+    rows = [(k, f"l{k:03d}", c * 3 + " " + c + letters[k - 1] * 2) for k, c in enumerate(letters)]
+    train = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit_languages(train)
+    assert len(model.names) == 500 and len(model.bits) == 8 and sum(len(b) for b in model.bits) == 8 << 10
+    got = {r.doc_id: r.lang_pred for r in langid.predict_languages(train, model).collect()}
+    assert all(got[i] == lang for i, lang, _ in rows)
+
+
 def test_chat_windows(spark):
     rows = [(1, t, r, f"{r} text {t} " + "word " * (17 * t % 40) + "& < &l; <|end|>\n") for t, r in enumerate(["system"] + ["user", "assistant"] * 20)]
     rows += [(2, 0, None, None), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (None, None, "we|ird\n&r", "x"), (3, 1, "assistant", "w " * 5000), (4, 0, "system", "only")]
