@@ -284,7 +284,7 @@ def test_languages_equal_the_plain_sets(spark):
             best = max(sorted(rate), key=rate.get) if any(rate.values()) else None
             if best is not None:
                 off.append(got[r.doc_id][0] != best)
-                assert off[-1] or len(grams) < 50 or abs(got[r.doc_id][1] - rate[best] / sum(rate.values())) < 0.05
+                assert off[-1] or len(grams) < 50 or abs(got[r.doc_id][1] - rate[best] / sum(rate.values())) < 0.1
         assert np.mean(off) <= 0.01
 
 
