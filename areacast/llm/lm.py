@@ -16,7 +16,7 @@ words in the training texts, the rest one unseen word. So the probabilities of
 all words, one unseen word for each tail, add up to 1 after any context.
 
 Both softmaxes are trained by noise-contrastive estimation in numpy: noise
-groups shared by a batch, and noise units drawn for each token from its group.
+groups shared by a batch, and a noise unit drawn for each token from its group.
 Training texts are dealt to shards of about ``SHARD_TOKENS`` tokens by a hash of
 id and text and read in its order, so that the parameters do not depend on how
 the input was partitioned. A pass over all tokens has ``ROUNDS`` rounds; in each,
@@ -51,7 +51,7 @@ from areacast.llm.common import byte_texts, in_bucket, written
 HEAD = 1 << 17
 #: Hash values of words' ends; the groups are fewer.
 TAILS = 4096
-WIDTH, NOISE, INNER, BATCH, RATE = 16, 16, 2, 4096, 0.3
+WIDTH, NOISE, INNER, BATCH, RATE = 16, 16, 1, 4096, 0.4
 PASSES, ROUNDS = 1, 4
 #: Of the distinct words' number, for the words with vectors of their own.
 GROWTH = 0.56
@@ -60,7 +60,7 @@ SHARD_TOKENS = 4_000_000
 #: tail it remembers.
 _COUNTED = 400_000
 #: Tokens scored at a time, and parameters in a row of a shard's result.
-_SCORED, _ROW = 1 << 14, 1 << 14
+_SCORED, _ROW = 1 << 15, 1 << 14
 
 
 def words_of(text: bytes | None) -> list[bytes]:
