@@ -8,8 +8,9 @@ buckets of highest estimated success: sets of steps to neighbouring cells, in
 order of the sum of squared distances to the cells' borders. The candidates of
 all tables meet in an exact rerank by the double-precision cosine.
 
-Buckets are dealt to groups by a hash; a bucket of more than ``CROWDED`` classes
-is split over several groups, and its queries go to each. A query's vector is
+Buckets are dealt to groups by a hash. A bucket of more than ``CROWDED`` classes
+is cut into index parts, one that more than ``ASKED`` queries visit into query
+shares, and each pair of a part and a share goes to a group. A query's vector is
 sent once to a group, with the keys it visits there. A task holds its group's
 queries and streams the group's index rows; it returns each query's best.
 
@@ -38,6 +39,8 @@ from areacast.llm.common import mix64, written
 
 TABLES, FUNCTIONS, PROBES, WIDTH = 4, 8, 280, 2.0
 CROWDED = 20_000
+#: Queries of a bucket that meet in one group.
+ASKED = 20_000
 #: Index rows of a group, about.
 GROUP = 40_000
 _BEST = 1_000_000  # candidates held before they are reduced
@@ -260,17 +263,22 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, probes: int = PR
     asking = classes.join(asked.select("class").distinct(), "class", "left_semi")
     visits = asking.select("class", "embedding").mapInArrow(_keyed(lambda u: visited_keys(u, functions, probes)), "class long, key long")
     crowded = own.groupBy("key").count().where(F.col("count") > CROWDED).select("key", F.ceil(F.col("count") / CROWDED).cast("int").alias("parts"))
-    parts = F.coalesce("parts", F.lit(1))
-    group = lambda salt: F.pmod(F.xxhash64("key", salt), F.lit(groups)).alias("group")
+    sought = visits.groupBy("key").count().where(F.col("count") > ASKED).select("key", F.ceil(F.col("count") / ASKED).cast("int").alias("shares"))
+    # A bucket of several index parts and query shares is met pair by pair.
+    parts, shares = F.coalesce("parts", F.lit(1)), F.coalesce("shares", F.lit(1))
+    one_of = lambda n: F.pmod(F.xxhash64("class"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    group = F.pmod(F.xxhash64("key", "part", "share"), F.lit(groups)).alias("group")
     kind = vectors.schema["embedding"].dataType
+    dealt = lambda rows: rows.join(crowded, "key", "left").join(sought, "key", "left")
     index = (
-        own.join(crowded, "key", "left").select("class", "key", group(F.pmod(F.xxhash64("class"), parts).cast("int")))
+        dealt(own).select("class", "key", one_of(parts).alias("part"), each(shares).alias("share")).select("class", "key", group)
         .join(classes.select("class", "embedding"), "class")
         .select("group", F.lit(1).alias("role"), "class", F.array("key").alias("keys"), F.col("embedding").cast(kind))
     )
     probing = (
-        visits.join(crowded, "key", "left").select("class", "key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-        .select("class", "key", group(F.col("part"))).groupBy("group", "class").agg(F.collect_set("key").alias("keys"))
+        dealt(visits).select("class", "key", one_of(shares).alias("share"), each(parts).alias("part"))
+        .select("class", "key", group).groupBy("group", "class").agg(F.collect_set("key").alias("keys"))
         .join(classes.select("class", "embedding"), "class")
         .select("group", F.lit(0).alias("role"), "class", "keys", F.col("embedding").cast(kind))
     )

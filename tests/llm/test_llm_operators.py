@@ -329,8 +329,11 @@ def chat_words(text):
     return text.encode().split()
 
 
-def test_nearest_neighbours(spark):
+@pytest.mark.parametrize("crowded,asked", [(20_000, 20_000), (7, 20_000), (7, 2)])
+def test_nearest_neighbours(spark, monkeypatch, crowded, asked):
     importable(spark)
+    monkeypatch.setattr(neighbours, "CROWDED", crowded)
+    monkeypatch.setattr(neighbours, "ASKED", asked)
     r = np.random.default_rng(3)
     x = r.normal(size=(60, 8)).astype(np.float32)
     x[20:30] = x[20]
