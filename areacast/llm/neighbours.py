@@ -261,7 +261,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, probes: int = PR
     groups = max(8, -(-n * TABLES // GROUP))
     own = classes.select("class", "embedding").mapInArrow(_keyed(lambda u: own_keys(u, functions)), "class long, key long")
     asking = classes.join(asked.select("class").distinct(), "class", "left_semi")
-    visits = asking.select("class", "embedding").mapInArrow(_keyed(lambda u: visited_keys(u, functions, probes)), "class long, key long")
+    visits = written(asking.select("class", "embedding").mapInArrow(_keyed(lambda u: visited_keys(u, functions, probes)), "class long, key long"), "vector-visits")
     crowded = own.groupBy("key").count().where(F.col("count") > CROWDED).select("key", F.ceil(F.col("count") / CROWDED).cast("int").alias("parts"))
     sought = visits.groupBy("key").count().where(F.col("count") > ASKED).select("key", F.ceil(F.col("count") / ASKED).cast("int").alias("shares"))
     # A bucket of several index parts and query shares is met pair by pair.
