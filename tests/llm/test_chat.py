@@ -1,0 +1,83 @@
+"""Chat windows against a plain loop over each conversation."""
+
+import random
+
+import pytest
+
+from areacast.llm import chat
+
+
+@pytest.fixture
+def many_chunks(spark):
+    """Small partitions stay apart, so a conversation lies in several chunks."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def escaped(text):
+    return text.replace("&", "&a;").replace("<", "&l;")
+
+
+def plain_windows(turns, budget, history, block):
+    """(window, n_repeated, text, target texts) of one conversation's sorted turns (role, text)."""
+    tokens = [len(x.encode().split()) + 1 for _, x in turns]
+    system = int(turns[0][0] == "system")
+    room = budget - history - (tokens[0] if system else 0)
+    starts, used = [0], 0
+    for i in range(system, len(turns)):
+        own = i - system
+        if own and (own % block == 0 or used + tokens[i] > room and not (i == starts[-1] or len(starts) == 1 and i == system)):
+            starts.append(i)
+            used = 0
+        used += tokens[i]
+    out = []
+    for start, stop in zip(starts, starts[1:] + [len(turns)]):
+        first, held = start, 0
+        while first > system and start and held + tokens[first - 1] <= history:
+            first -= 1
+            held += tokens[first]
+        shown = ([0] if system and start else []) + list(range(first, stop))
+        text = "".join(f"<|{turns[i][0]}|>\n{escaped(turns[i][1])}<|end|>\n" for i in shown)
+        out.append((start, sum(i < start for i in shown), text, [turns[i][1] for i in range(start, stop) if turns[i][0] == "assistant"]))
+    return out
+
+
+@pytest.mark.parametrize("block,budget,history", [(1024, 60, 20), (40, 60, 20), (16, 60, 0), (30, 40, 30), (1024, 5, 0)])
+def test_windows_equal_a_plain_loop(spark, many_chunks, monkeypatch, block, budget, history):
+    monkeypatch.setattr(chat, "BLOCK", block)
+    rng = random.Random(block + budget)
+    rows = []
+    for conv, n in ((None, 90), (1, 300), (2, 1), (3, 41), (4, 40), (5, 2), (6, 81)):
+        for t in range(n):
+            role = "system" if t == 0 and conv in (None, 1, 2, 4, 6) else ("user", "assistant")[t % 2]
+            rows.append((conv, t, role, " ".join(rng.choice("a b <c> d& ü".split()) for _ in range(rng.choice([0, 1, 3, 9, 80] if t % 7 == 0 else [0, 1, 3, 9])))))
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    table = spark.createDataFrame(shuffled, "conv_id long, turn long, role string, text string")
+    out = chat.windows(table, budget, history)
+    got = {}
+    for r, back in zip(out.orderBy("conv_id", "window").collect(), chat.turns_of(out).orderBy("conv_id", "window").collect()):
+        got.setdefault(r.conv_id, []).append((r.window, r.n_repeated, r.text, back.targets))
+    for conv in {r[0] for r in rows}:
+        assert got[conv] == plain_windows([(r[2], r[3]) for r in rows if r[0] == conv], budget, history, block)
+
+
+def test_a_conversation_is_cut_into_chunks(spark, many_chunks):
+    """One conversation's sorted turns lie in several chunks, and no window is lost or written twice."""
+    n = 30_000
+    table = spark.range(n).selectExpr(
+        "cast(null as long) conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('turn ', id) text", "'x' Window", "1 tokens",
+    )
+    lines = chat._lines(table.repartition(6))
+    assert lines.select("chunk").distinct().count() > 1
+    windows = chat.turns_of(chat.windows(table)).orderBy("window").collect()
+    assert [t.text for w in windows for t in w.turns] == [f"turn {i}" for i in range(n)]
+    assert [w.window for w in windows] == sorted({w.window for w in windows})
+
+
+def test_digests_of_a_long_conversation(spark):
+    n = 5000
+    table = spark.range(n).selectExpr("7L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('turn ', id) text")
+    (r,) = chat.conversation_digests(table).collect()
+    assert (r.n_turns, r.loss_chars) == (n, sum(len(f"turn {i}") for i in range(1, n, 2)))
