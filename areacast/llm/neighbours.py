@@ -3,10 +3,10 @@
 Equal vectors are one class; a class carries its smallest ``k + 1`` ids, which
 are all that can come among anyone's k nearest. Each of ``TABLES`` tables hashes
 the unit vector x by floor((a.x + b) / width) for some Gaussian directions a.
-A query visits its own bucket in each table and then the ``PROBES`` perturbed
-buckets of highest estimated success: sets of steps to neighbouring cells, in
-order of the sum of squared distances to the cells' borders. The candidates of
-all tables meet in an exact rerank by the double-precision cosine.
+A query visits its own bucket in each table and then the perturbed buckets of
+highest estimated success: sets of steps to neighbouring cells, in order of the
+sum of squared distances to the cells' borders. The candidates of all tables
+meet in an exact rerank by the double-precision cosine.
 
 Buckets are dealt to groups by a hash. A bucket of more than ``CROWDED`` classes
 is cut into index parts, one that more than ``ASKED`` queries visit into query
@@ -14,9 +14,13 @@ shares, and each pair of a part and a share goes to a group. A query's vector is
 sent once to a group, with the keys it visits there. A task holds its group's
 queries and streams the group's index rows; it returns each query's best.
 
-The number of hash functions grows with the logarithm of the number of classes
-up to ``FUNCTIONS``, so a few hundred vectors share a bucket or two and are
-searched exhaustively. Recall on the test vectors is in the README.
+The numbers of hash functions and of probes are chosen by `tuned` for each table
+of vectors: the exact neighbours of at most ``SAMPLE`` queries, found among all
+rows, tell for any number of functions up to the logarithm of the classes how
+many probes give the recall ``RECALL``, and a sample of rows how many rows
+these visit; the least work wins. So clustered vectors are searched in a few
+small buckets however many there are, and a few hundred vectors exhaustively.
+Recall on the test vectors is in the README.
 
 Defined cases: null, empty and zero vectors, vectors with null or non-finite
 components and rows with a null id take no part. Of rows with the same id the
@@ -37,7 +41,13 @@ from pyspark.sql import functions as F
 
 from areacast.llm.common import mix64, written
 
-TABLES, FUNCTIONS, PROBES, WIDTH = 4, 8, 280, 2.0
+TABLES, WIDTH = 4, 2.0
+#: Recall that the probes must give the sampled queries, and probes of a table at most.
+RECALL, PROBES = 0.95, 1024
+#: Queries, and rows, that the numbers of functions and probes are chosen by.
+SAMPLE, ROWS = 200, 2048
+#: Work of a visit to a bucket, in comparisons of a row.
+_VISIT = 4
 CROWDED = 20_000
 #: Queries of a bucket that meet in one group.
 ASKED = 20_000
@@ -93,7 +103,7 @@ def own_keys(unit: np.ndarray, functions: int) -> np.ndarray:
     return np.stack([_key(_cells(unit, t, functions)[0], unit.shape[1], t) for t in range(TABLES)], axis=1)
 
 
-def visited_keys(unit: np.ndarray, functions: int, probes: int = PROBES) -> np.ndarray:
+def visited_keys(unit: np.ndarray, functions: int, probes: int) -> np.ndarray:
     """All buckets a query visits, in order by table."""
     order = probe_order(functions, probes)
     found = []
@@ -236,9 +246,92 @@ def _search(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, probes: int = PROBES) -> DataFrame:
+def _sampled_neighbours(classes: DataFrame, asked: list[tuple[int, list[float]]], k: int) -> dict[int, list]:
+    """The vectors of the k classes nearest to each of the ``asked`` (class,
+    vector), by comparing these with all rows."""
+    by_size: dict[int, tuple[list, list]] = {}
+    for cls, x in asked:
+        ids, xs = by_size.setdefault(len(x), ([], []))
+        ids.append(cls)
+        xs.append(x)
+    known = {size: (np.array(ids), _unit(np.array(xs, np.float64))) for size, (ids, xs) in by_size.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, ...]] = []
+        for b in batches:
+            cls = b.column(0).to_numpy()
+            for rows, x in _matrix(b.column(1)):
+                if x.shape[1] not in known:
+                    continue
+                ids, unit = known[x.shape[1]]
+                score = unit @ _unit(x).T
+                score[ids[:, None] == cls[rows][None, :]] = -2.0
+                best = np.argpartition(-score, k - 1, axis=1)[:, :k] if score.shape[1] > k else np.tile(np.arange(score.shape[1]), (len(ids), 1))
+                query = np.repeat(ids, best.shape[1])
+                found.append((query, cls[rows][best.ravel()], np.take_along_axis(score, best, 1).ravel()))
+            if found:
+                found = [_best(found, k)]
+        if found:
+            query, cls, score = found[0]
+            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(cls), pa.array(score)], ["query", "class", "score"])
+
+    met = classes.select("class", "embedding").mapInArrow(run, "query long, class long, score double").where("score > -2")
+    best = met.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "class"))).where(F.col("place") <= k)
+    out: dict[int, list] = {}
+    for r in best.join(classes.select("class", "embedding"), "class").select("query", "embedding").collect():
+        out.setdefault(r[0], []).append(r[1])
+    return out
+
+
+def _first_visits(visited: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """For each row of ``keys``, by table: the number of the visit, in a query's
+    ``visited`` by table, that meets it; ``PROBES + 1`` if none does."""
+    first = np.full(keys.shape, PROBES + 1)
+    for t in range(TABLES):
+        order = np.argsort(visited[t], kind="stable")
+        ranked = visited[t][order]
+        at = np.minimum(np.searchsorted(ranked, keys[:, t]), len(ranked) - 1)
+        first[:, t] = np.where(ranked[at] == keys[:, t], order[at], PROBES + 1)
+    return first
+
+
+def tuned(classes: DataFrame, asking: DataFrame, n: int, k: int) -> tuple[int, int]:
+    """Hash functions and probes of least work that reach ``RECALL`` on a sample
+    of ``asking``. With no function all rows share a bucket, so some pair does."""
+    most = int(max(0, np.log2(max(n, 1) / 64)))
+    some = lambda rows, m: [(r[0], r[1]) for r in rows.select("class", "embedding").orderBy(F.xxhash64("class"), "class").limit(m).collect()]
+    asked = some(asking, SAMPLE) if most else []
+    near = _sampled_neighbours(classes, asked, k) if asked else {}
+    if not near:
+        return 0, 0
+    matrix = lambda xs: _unit(np.array(xs, np.float64))
+    rows = [x for _, x in some(classes, ROWS)]
+    by_size: dict[int, list] = {}
+    for cls, x in asked:
+        if cls in near:
+            by_size.setdefault(len(x), []).append((x, matrix(near[cls])))
+    best = (float(n * TABLES), 0, 0)
+    for functions in range(1, most + 1):
+        found, work = [], []
+        for size, pairs in by_size.items():
+            visits = visited_keys(matrix([x for x, _ in pairs]), functions, PROBES).reshape(len(pairs), TABLES, -1)
+            found += [_first_visits(v, own_keys(y, functions)).min(axis=1) for v, (_, y) in zip(visits, pairs)]
+            if same := [x for x in rows if len(x) == size]:
+                keys = own_keys(matrix(same), functions)
+                work += [_first_visits(v, keys).ravel() for v in visits]
+        first = np.sort(np.concatenate(found))
+        probes = int(first[int(np.ceil(RECALL * len(first))) - 1])
+        if probes > PROBES:
+            continue
+        visited = n * sum(np.count_nonzero(v <= probes) for v in work) / (len(found) * len(rows))
+        best = min(best, (visited + _VISIT * TABLES * probes, functions, probes))
+    return best[1:]
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, shape: tuple[int, int] | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: for each id in ``queries`` (vec_id) the k
-    nearest of ``vectors`` (vec_id, embedding) that the index finds."""
+    nearest of ``vectors`` (vec_id, embedding) that the index finds. ``shape``:
+    hash functions and probes, if they are not to be chosen."""
     x = F.col("embedding")
     fit = vectors.where(
         F.col("vec_id").isNotNull() & F.coalesce(
@@ -257,10 +350,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, probes: int = PR
         "vector-queries",
     )
     n = classes.count()
-    functions = int(np.clip(np.log2(max(n, 1) / 64), 0, FUNCTIONS))
     groups = max(8, -(-n * TABLES // GROUP))
-    own = classes.select("class", "embedding").mapInArrow(_keyed(lambda u: own_keys(u, functions)), "class long, key long")
     asking = classes.join(asked.select("class").distinct(), "class", "left_semi")
+    functions, probes = shape or tuned(classes, asking, n, k)
+    own = classes.select("class", "embedding").mapInArrow(_keyed(lambda u: own_keys(u, functions)), "class long, key long")
     visits = written(asking.select("class", "embedding").mapInArrow(_keyed(lambda u: visited_keys(u, functions, probes)), "class long, key long"), "vector-visits")
     crowded = own.groupBy("key").count().where(F.col("count") > CROWDED).select("key", F.ceil(F.col("count") / CROWDED).cast("int").alias("parts"))
     sought = visits.groupBy("key").count().where(F.col("count") > ASKED).select("key", F.ceil(F.col("count") / ASKED).cast("int").alias("shares"))
