@@ -3,12 +3,16 @@
 Fingerprints are computed in one Arrow pass; equal ones are joined into one
 row. Two fingerprints that differ in at most r of 64 bits agree in at least one
 of r + 1 bands of bits, so each distinct fingerprint goes to the shards of its
-r + 1 band values. A shard builds the BK-tree of its nodes (children keyed by
+r + 1 band values, or of so many of their bits that a shard has about
+``NODES`` fingerprints. A shard builds the BK-tree of its nodes (children keyed by
 their integer Hamming distance to the parent), and each of the shard's
 fingerprints follows only the edges whose key lies within r of its own distance
 to the node. A shard of more than ``SHARD`` fingerprints is split: its nodes
 are dealt over several trees, and its fingerprints search each of them.
 
+A fingerprint of a large share of the rows gets its component by a broadcast of
+such fingerprints (at most ``HOT``), so that its rows do not meet in one task.
+
 The trees reach the searching tasks by the shuffle that also brings these the
 fingerprints, and never pass through the driver. Shards return a spanning
 forest of the links found, at most one row per fingerprint, not all pairs.
@@ -31,8 +35,11 @@ from pyspark.sql import functions as F
 
 from areacast.llm.common import byte_texts, written
 
-#: Nodes of one BK-tree at most, but for the unevenness of a hash.
-SHARD = 16_384
+#: Nodes of one BK-tree at most, but for the unevenness of a hash; and about how
+#: many it has while part of the bits of a band can choose the shards.
+SHARD, NODES = 16_384, 256
+#: Fingerprints of more than this part of the rows are joined apart.
+HOT = 1000
 #: Fingerprints that a task holds at once, but for those of one shard.
 _HELD = 200_000
 #: (fingerprint, node) pairs compared at once.
@@ -205,8 +212,10 @@ def near_links(distinct: DataFrame, radius: int = 3, shard: int = SHARD) -> Data
     (id, fp; each fp once) under a distance of at most ``radius`` bits."""
     bands = radius + 1
     width = -(-64 // bands)
+    # Bits of a band's value that choose the shard: its lowest ones.
+    bits = min(width, max(0, (distinct.count() // NODES).bit_length()))
     keys: list[Column] = [
-        F.xxhash64(F.lit(k), F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << width) - 1)) if radius else F.col("fp"))
+        F.xxhash64(F.lit(k), F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << max(0, min(bits, 64 - k * width))) - 1)) if radius else F.col("fp"))
         for k in range(bands)
     ]
     rows = distinct.select("id", "fp", F.explode(F.array(*keys)).alias("band"))
@@ -259,13 +268,17 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, shard: int
     prints = written(with_fingerprint(docs, words), "fingerprints")
     known = prints.where(F.col("doc_id").isNotNull())
     distinct = known.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    hot = written(prints.groupBy("fp").count().where(F.col("count") > F.lit(prints.count() // HOT)).select("fp"), "hot-fingerprints")
     # A fingerprint's rows hang on its least id; so do all fingerprints of an id.
     repeated = known.groupBy("doc_id").agg(F.min("fp").alias("f"), F.max("fp").alias("g")).where("f != g").select("doc_id")
     own = known.join(repeated, "doc_id", "left_semi").join(distinct, "fp").where("doc_id != id").select("doc_id", "id")
     links = near_links(distinct, radius, shard).union(own)
     classes = least_reachable(links)
     joined = distinct.join(classes, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(joined, "fp", "left").select(
+    few = F.broadcast(hot)
+    crowd = prints.join(few, "fp", "left_semi").join(F.broadcast(joined.join(few, "fp", "left_semi")), "fp", "left")
+    others = prints.join(few, "fp", "left_anti").join(joined, "fp", "left")
+    return crowd.unionByName(others).select(
         "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
 
