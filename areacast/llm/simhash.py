@@ -274,7 +274,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, shard: int
     own = known.join(repeated, "doc_id", "left_semi").join(distinct, "fp").where("doc_id != id").select("doc_id", "id")
     links = near_links(distinct, radius, shard).union(own)
     classes = least_reachable(links)
-    joined = distinct.join(classes, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
+    joined = written(distinct.join(classes, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id")), "fingerprint-components")
     few = F.broadcast(hot)
     crowd = prints.join(few, "fp", "left_semi").join(F.broadcast(joined.join(few, "fp", "left_semi")), "fp", "left")
     others = prints.join(few, "fp", "left_anti").join(joined, "fp", "left")
