@@ -14,6 +14,8 @@ then renamed, so a repeated task leaves one whole file.
 
 Words between ASCII blanks are encoded once and kept by the worker: this
 tokenizer drops blanks before it splits, so a text's ids are its words' ids.
+Arrow splits a piece of texts and numbers its distinct words; only these are
+looked up one by one.
 
 Defined cases: a null or empty text has the end id alone. Null ids come first;
 rows with the same id are ordered by a hash of their text. An empty table is
@@ -23,6 +25,7 @@ one file without blocks.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -33,6 +36,7 @@ from itertools import accumulate, batched, chain, repeat
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +50,10 @@ TOKENIZER, SYMBOLS, END = "word_bpe_49k.json", 49_408, 2
 KNOWN_WORDS = 600_000
 #: Text of the documents tokenized at once.
 _PIECE = 4 << 20
-_MARKS = b".,;:!?"
+_MARKS = string.punctuation
+#: Texts that may hold a special token, or a capital that joins the accent after
+#: it only in lower case, are not lower-cased before the tokenizer does it.
+_AS_IT_IS = r"<\||[A-Z]\p{M}"
 
 
 @cache
@@ -58,99 +65,136 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _expand(flat: np.ndarray, offsets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of numbered words one after the other, and their counts; word k
+    of the table has ``flat[offsets[k] : offsets[k + 1]]``."""
+    starts = offsets[at]
+    sizes = offsets[at + 1] - starts
+    through = np.cumsum(sizes)
+    place = np.repeat(starts - through + sizes, sizes)
+    place += np.arange(len(place))
+    return flat[place], sizes
+
+
 class WordIds:
     """The ids of words, in one array; a word's number gives its place.
 
-    Up to ``KNOWN_WORDS`` words are kept. Then a text's further words are
-    encoded for the moment, or, if they are many, the table is begun anew.
+    ASCII is lower-cased, and the ASCII marks at a word's beginning and end are
+    taken as words of their own where the tokenizer parts them, so the table
+    holds what is between them. Up to ``KNOWN_WORDS`` words are kept. Then a
+    piece's further words are encoded for the moment, or, if they are many, the
+    table is begun anew.
     """
 
     def __init__(self, path: str):
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
         self.tokenizer = _tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        # For words of a to z, which the other steps leave as they are.
+        self.model = type(self.tokenizer)(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.parted: dict[str, bool] = {}
+        self.parted_ascii = np.array([k < 128 and self._is_parted(chr(k)) for k in range(256)])
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {b"": 0}
         self.flat, self.offsets = np.zeros(0, np.int32), np.zeros(2, np.int64)
 
-    def _append(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
-        first = len(self.offsets) - 1
-        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-        self.number.update(zip(words, range(first, first + len(words))))
-
-    def _expand(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of numbered words one after the other, and their counts."""
-        sizes = self.offsets[at + 1] - self.offsets[at]
-        through = np.cumsum(sizes)
-        place = np.repeat(self.offsets[at] - (through - sizes), sizes)
-        place += np.arange(len(place))
-        return self.flat[place], sizes
-
-    def _encode(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        letters = [t.isalpha() for t in texts]
-        # Words of letters alone are one token run each, which its end marks; so
-        # many of them can be encoded as one text.
-        whole = [w for w, a in zip(words, letters) if a]
-        joined = [" ".join(t) for t in batched((t for t, a in zip(texts, letters) if a), 64)]
-        flat = np.fromiter(chain.from_iterable(e.ids for e in self._ids(joined)), np.int64)
-        stops = np.flatnonzero(self.ends[flat]) + 1
-        if len(stops) == len(whole):
-            self._append(whole, flat, np.diff(stops, prepend=0))
-            words, texts = [[x for x, a in zip(v, letters) if not a] for v in (words, texts)]
-        ids = [e.ids for e in self._ids(texts)]
-        self._append(words, np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids)))
-
-    def _ids(self, texts: list[str]) -> list:
-        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-
-    def add(self, new: list[bytes]) -> None:
-        """Encodes words that are not known. Marks at a word's end are encoded
-        apart, as the tokenizer parts them from a letter or digit before them;
-        ASCII is lower-cased, unless the word may hold a special token."""
-        known = self.number
-        cores = [w if b"<|" in w else w.lower() for w in new]
-        tails = [b""] * len(new)
-        for k, (word, core) in enumerate(zip(cores, [c.rstrip(_MARKS) for c in cores])):
-            if len(core) != len(word) and core and b"<|" not in word:
-                last = core[-1]
-                if 97 <= last <= 122 or 48 <= last <= 57 or last >= 128 and core.decode()[-1].isalpha():
-                    cores[k], tails[k] = core, word[len(core) :]
-        self._encode([w for w in dict.fromkeys(chain(cores, tails)) if w not in known])
-        marked = [k for k, t in enumerate(tails) if t]
-        known.update((w, known[c]) for w, c, t in zip(new, cores, tails) if not t)
-        pairs = np.array([known[x] for k in marked for x in (cores[k], tails[k])], np.int64)
-        flat, sizes = self._expand(pairs)
-        self._append([new[k] for k in marked], flat, sizes.reshape(-1, 2).sum(axis=1))
+    def _is_parted(self, char: str) -> bool:
+        """Whether the tokenizer parts marks from this character beside them."""
+        if char not in self.parted:
+            whole = self.tokenizer.normalizer.normalize_str(f"!{char}!")
+            runs = [run for run, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(whole)]
+            self.parted[char] = len(runs) > 2 and runs[0] == runs[-1] == "!"
+        return self.parted[char]
+
+    def _runs(self, tokenizer, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids and counts of words that are one token run each, which its end
+        marks; so many of them are encoded as one text."""
+        joined = [b" ".join(some).decode() for some in batched(words, 64)]
+        ids = [e.ids for e in tokenizer.encode_batch_fast(joined, add_special_tokens=False)] if joined else []
+        flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        return flat, np.diff(np.flatnonzero(self.ends[flat]) + 1, prepend=0)
+
+    def _encode(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """An order of the words, and the ids and counts of the words in it."""
+        plain, letters, others = [], [], []
+        for k, word in enumerate(words):
+            # Of bytes, these tests hold for ASCII alone.
+            if word.isalpha():
+                (plain if word.islower() else letters).append(k)
+            else:
+                (letters if word.decode().isalpha() else others).append(k)
+        parts = [self._runs(self.model, [words[k] for k in plain]), self._runs(self.tokenizer, [words[k] for k in letters])]
+        if len(parts[1][1]) != len(letters):
+            parts.pop()
+            letters, others = [], letters + others
+        texts = [words[k].decode() for k in others]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        parts.append((np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))))
+        return plain + letters + others, *(np.concatenate(p) for p in zip(*parts))
+
+    def _parts(self, words: pa.Array) -> pa.Array:
+        """The marks before each word, the word, and the marks after it, by turns.
+        The marks stay with a word that may hold a special token, or from which
+        the tokenizer does not part them."""
+        bare = pa.compute.ascii_ltrim(words, _MARKS.replace("'", ""))  # 's is a run of its own
+        lengths = [pa.compute.binary_length(v).to_numpy() for v in (words, bare, pa.compute.ascii_rtrim(bare, _MARKS))]
+        before, after = lengths[0] - lengths[1], lengths[1] - lengths[2]
+        begins = np.frombuffer(words.buffers()[1], np.int32)[words.offset :][: len(words) + 1]
+        data = words.buffers()[2] or pa.py_buffer(b"")
+        marked = np.flatnonzero((before + after > 0) & (lengths[2] > 0) & ~pa.compute.match_substring(words, "<|").to_numpy(zero_copy_only=False))
+        first, last = begins[marked] + before[marked], begins[marked + 1] - after[marked] - 1
+        raw = np.frombuffer(data, np.uint8)
+        ahead, behind = self.parted_ascii[raw[first]], self.parted_ascii[raw[last]]
+        for found, here, side in ((ahead, raw[first] >= 128, 0), (behind, raw[last] >= 128, -1)):
+            for k in np.flatnonzero(here & ((before, after)[side][marked] > 0)).tolist():
+                found[k] = self._is_parted(raw[first[k] : last[k] + 1].tobytes().decode()[side])
+        places = np.stack([begins[:-1], begins[:-1], begins[1:]], axis=1)
+        places[marked, 1] += before[marked] * ahead
+        places[marked, 2] -= after[marked] * behind
+        return pa.StringArray.from_buffers(3 * len(words), pa.py_buffer(np.append(places.ravel(), begins[-1]).astype(np.int32)), data)
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end after each, and their counts by text."""
-        split = [t.split() if t else [] for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = list(chain.from_iterable(split))
-        at = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0).tolist()
-        new = list(dict.fromkeys(words[k] for k in missing))
-        full = len(self.number) + len(new) > KNOWN_WORDS
-        if full and 4 * len(missing) > len(words):
+        column = pa.array(texts, pa.binary()).cast(pa.string())
+        kept = pa.compute.match_substring_regex(column, _AS_IT_IS)
+        split = pa.compute.ascii_split_whitespace(pa.compute.if_else(kept, column, pa.compute.ascii_lower(column)))
+        ends = np.cumsum(pa.compute.list_value_length(split).fill_null(0).to_numpy())
+        coded = split.flatten().dictionary_encode()
+        words = coded.indices.to_numpy()
+        parts = self._parts(coded.dictionary).dictionary_encode()
+        part = parts.indices.to_numpy().reshape(-1, 3)
+        keys = parts.dictionary.cast(pa.binary()).to_pylist()
+
+        at = np.fromiter(map(self.number.get, keys, repeat(-1)), np.int64, len(keys))
+        missing = np.flatnonzero(at < 0)
+        full = len(self.number) + len(missing) > KNOWN_WORDS
+        if full and 4 * int((at < 0)[part].any(axis=1)[words].sum()) > len(words):
             self.clear()
-            missing, new, full = range(len(words)), list(set(words)), False
-        before = (len(self.number), len(self.flat), len(self.offsets))
-        self.add(new)
-        at[missing] = [self.number[words[k]] for k in missing]
-        ends = np.cumsum(counts)
-        flat, sizes = self._expand(at)
-        through = np.append(0, np.cumsum(sizes))
-        stops = through[ends]
-        if full:
-            while len(self.number) > before[0]:
-                self.number.popitem()
-            self.flat, self.offsets = self.flat[: before[1]], self.offsets[: before[2]]
-        return np.insert(flat, stops, end), np.diff(stops, prepend=0) + 1
+            at, full = np.where([k == b"" for k in keys], 0, -1), False
+            missing = np.flatnonzero(at < 0)
+        flat, offsets = self.flat, self.offsets
+        if len(missing):
+            new = [keys[k] for k in missing.tolist()]
+            order, ids, sizes = self._encode(new)
+            count = len(offsets) - 1
+            at[missing[order]] = np.arange(count, count + len(new))
+            flat, offsets = np.concatenate([flat, ids]), np.concatenate([offsets, offsets[-1] + np.cumsum(sizes)])
+            if not full:
+                self.flat, self.offsets = flat, offsets
+                self.number.update(zip((new[k] for k in order), range(count, count + len(new))))
+
+        # The piece's own words, the end as one more, then the texts.
+        flat, sizes = _expand(flat, offsets, at[part].ravel())
+        sizes = np.append(sizes.reshape(-1, 3).sum(axis=1), 1)
+        flat, sizes = _expand(np.append(flat, np.int32(end)), np.append(0, np.cumsum(sizes)), np.insert(words, ends, len(sizes) - 1))
+        stops = np.cumsum(sizes)[ends + np.arange(len(ends))]
+        return flat, np.diff(stops, prepend=0)
 
 
 class TextIds:

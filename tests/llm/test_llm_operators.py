@@ -417,6 +417,34 @@ def test_token_files(docs, empty, spark, tmp_path, monkeypatch):
         assert ids.tolist() == [*plain.encode(t or "", add_special_tokens=False).ids, 2, *plain.encode("one", add_special_tokens=False).ids, 2]
 
 
+def test_a_word_is_encoded_once_whatever_marks_it_has():
+    import public_tokenizers
+
+    words = tokens.WordIds(public_tokenizers.path(tokens.TOKENIZER))
+    encoded, encode = [], words._encode
+    words._encode = lambda new: encoded.extend(new) or encode(new)
+    for text in (b"Alpha, (alpha) alpha***", b'"alpha" ALPHA$$$ [alpha]: beta%', b"'alpha' \xc3\xa9t\xc3\xa9*** <\xc3\xa9t\xc3\xa9>"):
+        words.encode([text], 2)
+    assert sorted(w for w in encoded if any(c > 64 for c in w.strip(b"[]"))) == [b"'alpha", b"alpha", b"beta", "été".encode()]
+    assert len(encoded) == len(set(encoded))
+
+
+def test_word_ids_are_those_of_the_whole_text():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(tokens.TOKENIZER)
+    plain, words = Tokenizer.from_file(path), tokens.WordIds(path)
+    odd = [
+        "\u0130.", "x\u0130!", "T\u0308", "T\u0316\u0308 t\u0308", "H\u0331*** W\u030a Y\u030a. J\u030c", "e\u0301. (e\u0301)", "'s 's. .'s ''s. x'! don't!", "'.' .'. \"'tis\"",
+        "<|endoftext|> <|ENDOFTEXT|>. (<|endoftext|>)", "<| |> <", "\x1ca\x85b \u00a0(c) \u201cd\u201d.", "\u00b2. (\u2160) 12.5% $5", "\u0928\u093f! (\u0958) \u1112\u1161.", "_a_ `b` ***", " \t\r\n\v\f", "",
+    ]
+    for text in odd:
+        assert words.encode([text.encode()], 2)[0].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2], text
+    ids, sizes = words.encode([None, *(t.encode() for t in odd)], 2)
+    assert ids.tolist() == [2, *(i for t in odd for i in [*plain.encode(t, add_special_tokens=False).ids, 2])] and sizes.sum() == len(ids)
+
+
 def test_one_document_is_read_from_its_blocks(docs, spark, tmp_path):
     folder = str(tmp_path / "files")
     shards = tokens.write_token_files(docs, folder)
